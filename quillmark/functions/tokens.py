@@ -16,9 +16,9 @@ def _extract_all(c: Column, pattern: str, group: int = 0) -> Column:
     return F.regexp_extract_all(c, F.lit(pattern), F.lit(group))
 
 
-def tokenize_ws(c) -> Column:
-    """White-space tokens, none empty; null gives an empty array."""
-    return _extract_all(F.coalesce(_col(c), F.lit("")), f"{U}{NONBLANK}+")
+def tokenize_ws(c, min_length: int = 1) -> Column:
+    """White-space tokens of at least ``min_length``, none empty; null gives an empty array."""
+    return _extract_all(F.coalesce(_col(c), F.lit("")), f"{U}{NONBLANK}{{{min_length},}}")
 
 
 def tokenize_lower(c) -> Column:

@@ -118,19 +118,15 @@ def ttr_histogram(df: DataFrame, bins: int = 40, label: str = LABEL, value: str
         .agg(_n().alias("n"))
     )
     low, high = F.min("v"), F.max("v")
-    ranges = counts.groupBy(label).agg(
+    ranges = counts.groupBy(F.col(label).alias("_class")).agg(
         F.when(low == high, low - 0.5).otherwise(low).alias("low"),
         F.when(low == high, high + 0.5).otherwise(high).alias("high"),
     )
     step = (F.col("high") - F.col("low")) / bins
     position = F.floor((F.col("v") - F.col("low")) / (F.col("high") - F.col("low")) * bins)
-    same = counts[label].eqNullSafe(ranges[label])
     return (
-        counts.join(ranges, same)
-        .select(counts[label], F.least(position, F.lit(bins - 1)).cast("int").alias("bin"), "low", step.alias("step"), "n")
-        .groupBy(label, "bin")
-        .agg(
-            (F.first("low") + F.first("step") * F.col("bin")).alias("bin_start"),
-            F.sum("n").alias("n"),
-        )
+        counts.join(ranges, F.col(label).eqNullSafe(F.col("_class")))
+        .select(label, F.least(position, F.lit(bins - 1)).cast("int").alias("bin"), "low", step.alias("step"), "n")
+        .groupBy(label, "bin", (F.col("low") + F.col("step") * F.col("bin")).alias("bin_start"))
+        .agg(F.sum("n").alias("n"))
     )
