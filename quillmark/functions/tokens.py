@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from functools import reduce
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -69,19 +70,21 @@ def pairs_of(joined: Column, sep: str, min_length: int = 1) -> Column:
     return _extract_all(joined, f"(?<![^{s}])(?=({word}{s}{word}))[^{s}]++", 1)
 
 
-def bigrams(tokens, sep: str = "_") -> Column:
-    """Adjacent pairs of a token array as ``a<sep>b``; tokens may hold any character."""
+def ngrams(tokens, n: int = 2, sep: str = " ") -> Column:
+    """Runs of ``n`` adjacent tokens joined by ``sep``; fewer than ``n`` tokens give none.
+
+    Shifted copies of the array are zipped, which reads each token ``n`` times at most. Tokens may
+    hold any character.
+    """
     t = _col(tokens)
-    n = F.greatest(F.size(t) - 1, F.lit(0))
-    return F.zip_with(F.slice(t, F.lit(1), n), F.slice(t, F.lit(2), n), lambda a, b: F.concat(a, F.lit(sep), b))
+    runs = F.greatest(F.size(t) - (n - 1), F.lit(0))
+    shifted = (F.slice(t, F.lit(k), runs) for k in range(1, n + 1))
+    return reduce(lambda left, right: F.zip_with(left, right, lambda a, b: F.concat(a, F.lit(sep), b)), shifted)
 
 
-def ngrams(tokens, n: int = 2, sep: str = " ") -> Column:
-    """Runs of ``n`` adjacent tokens joined by ``sep``; fewer than ``n`` tokens give none."""
-    t = _col(tokens)
-    last = F.size(t) - n + 1
-    starts = F.when(last >= 1, F.sequence(F.lit(1), last)).otherwise(F.array().cast("array<int>"))
-    return F.transform(starts, lambda i: F.array_join(F.slice(t, i, F.lit(n)), sep))
+def bigrams(tokens, sep: str = "_") -> Column:
+    """Adjacent pairs of a token array as ``a<sep>b``."""
+    return ngrams(tokens, 2, sep)
 
 
 def script_bigrams(
