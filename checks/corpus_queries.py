@@ -195,7 +195,8 @@ def dedup_report(spark, sf_dir):
 
 @query("drop_empty_processed", f"WITH {q.PROCESSED} SELECT doc_id, length(processed_text) AS n FROM processed WHERE length(processed_text) > 0")
 def drop_empty_processed(spark, sf_dir):
-    return reshape.drop_empty(t.processed(spark, sf_dir)).select("doc_id", F.length("processed_text").alias("n"))
+    docs = reshape.drop_empty(t.processed(spark, sf_dir))
+    return docs.select("doc_id", F.length("processed_text").alias("n"))
 
 
 @query(
@@ -231,7 +232,7 @@ def schema_table(spark, sf_dir):
 
 @query("preview", "SELECT doc_id, lang, text FROM documents ORDER BY doc_id LIMIT 3")
 def preview(spark, sf_dir):
-    return reshape.preview(t.documents(spark, sf_dir), ["doc_id", "lang", "text"], "doc_id")
+    return reshape.preview(t.table(spark, sf_dir, "documents"), ["doc_id", "lang", "text"], "doc_id")
 
 
 # ---- summaries ------------------------------------------------------------------------------
@@ -479,13 +480,13 @@ def distinctive_bigrams(spark, sf_dir):
 
 @query("attach_labels", "SELECT d.doc_id, d.lang, l.quality, l.toxic FROM documents d JOIN labels l ON d.doc_id = l.doc_id")
 def attach_labels(spark, sf_dir):
-    docs = t.documents(spark, sf_dir).select("doc_id", "lang")
+    docs = t.table(spark, sf_dir, "documents").select("doc_id", "lang")
     return labels.attach_labels(docs, t.table(spark, sf_dir, "labels"))
 
 
 @query("unlabelled_docs", "SELECT doc_id, lang FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)")
 def unlabelled_docs(spark, sf_dir):
-    return labels.unlabelled(t.documents(spark, sf_dir).select("doc_id", "lang"), t.table(spark, sf_dir, "labels"))
+    return labels.unlabelled(t.table(spark, sf_dir, "documents").select("doc_id", "lang"), t.table(spark, sf_dir, "labels"))
 
 
 @query(

@@ -9,6 +9,7 @@ from checks.sql import ARABIC_STAND_INS, LATIN_LETTERS
 from quillmark.operators.labels import attach_labels
 from quillmark.plans.preparation import add_clean_texts, add_style
 from quillmark.profiles import ARABIC, LATIN
+from quillmark.sources.files import spread
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -16,7 +17,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def documents(spark, sf_dir) -> DataFrame:
-    return table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
+    return spread(table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source"), "doc_id")
 
 
 def latin_docs(spark, sf_dir) -> DataFrame:

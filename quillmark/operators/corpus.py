@@ -6,7 +6,7 @@ keyed by the term serves every class and hot classes never form a group of their
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quillmark.functions.tokens import pairs_of, script_terms, tokenize_ws
@@ -119,8 +119,7 @@ def cloud_weights(counts: DataFrame, n: int = 200, min_length: int = 2) -> DataF
     """Top words with their weight relative to the most frequent word of the class."""
     words = counts.filter((F.col("kind") == WORD) & (F.length("term") >= min_length))
     top = top_n(words, ["class"], [F.desc("n"), F.asc("term")], n, "term")
-    first = top.filter("rank = 1").select("class", F.col("n").alias("_max"))
-    return top.join(first, "class").withColumn("weight", F.col("n") / F.col("_max")).drop("_max")
+    return top.withColumn("weight", F.col("n") / F.max("n").over(Window.partitionBy("class")))
 
 
 def type_inventory(counts: DataFrame) -> DataFrame:
@@ -168,8 +167,9 @@ def distinctive_terms(
     occurrences, the ``n`` with the highest ratio of occurrences per document; one is added to
     both human numbers. ``class_sizes`` has one row per class: label and ``n`` documents.
     """
-    size = lambda value: class_sizes.agg(F.coalesce(F.max(F.when(F.col(label) == value, F.col("n"))), F.lit(0)))
-    n_ai, n_human = size(GENERATED).scalar(), size(HUMAN).scalar()
+    size = lambda value: F.coalesce(F.max(F.when(F.col(label) == value, F.col("n"))), F.lit(0))
+    sizes = class_sizes.agg(F.struct(size(GENERATED).alias("ai"), size(HUMAN).alias("human"))).scalar()
+    n_ai, n_human = sizes["ai"], sizes["human"]
     top = (
         wide.filter((F.col("kind") == kind) & (F.col("n_ai") > 0))
         .orderBy(F.desc("n_ai"), F.asc("term"))

@@ -6,6 +6,7 @@ import time
 
 from pyspark.ml import Pipeline, PipelineModel, Transformer
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
+from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -50,9 +51,22 @@ def train(name: str, df: DataFrame, features: str = FEATURES, **params):
     return model, time.monotonic() - start
 
 
-def scoring_pipeline(feature_model: PipelineModel, classifier) -> PipelineModel:
-    """One pipeline from style measures and processed text to a prediction."""
-    return PipelineModel(stages=[*feature_model.stages, classifier])
+def scoring_pipeline(feature_model: PipelineModel, classifier, invalid: str = "error") -> PipelineModel:
+    """One pipeline from style measures and processed text to a prediction.
+
+    Measures are never null, so no row can be invalid here. Skipping invalid rows would add a filter
+    on all measures, which Spark pushes below them and thereby computes each of them twice. Pass
+    ``invalid="skip"`` to score stored measures that may have gaps. Only the assembler that the
+    classifier reads is kept.
+    """
+    wanted = classifier.getFeaturesCol()
+    stages = []
+    for stage in feature_model.stages:
+        if not isinstance(stage, VectorAssembler):
+            stages.append(stage)
+        elif stage.getOutputCol() == wanted:
+            stages.append(stage.copy().setHandleInvalid(invalid))
+    return PipelineModel(stages=[*stages, classifier])
 
 
 def score(model: Transformer, df: DataFrame) -> DataFrame:

@@ -42,6 +42,15 @@ def drop_missing(df: DataFrame, cols: list[str]) -> DataFrame:
     return df.dropna(subset=list(cols))
 
 
+def computed(df: DataFrame, name: str, value: Column) -> DataFrame:
+    """Add a column that is computed once per row, even if it is filtered on later.
+
+    A filter on a plain computed column is pushed below it, where the whole expression is evaluated
+    a second time. It cannot pass the generator that makes this column.
+    """
+    return df.select("*", F.explode(F.array(value)).alias(name))
+
+
 def drop_empty(df: DataFrame, column: str = "processed_text") -> DataFrame:
     """Rows whose text is not empty."""
     return df.filter(F.length(column) > 0)

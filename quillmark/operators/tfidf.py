@@ -6,9 +6,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
+def _terms(df: DataFrame, tokens: str, *keep: str) -> DataFrame:
+    """One row per array element.
+
+    The outer form and a filter on its result, because the plain one adds a filter on the array
+    itself, which makes Spark tokenize each text twice.
+    """
+    return df.select(*keep, F.explode_outer(tokens).alias("term")).filter("term IS NOT NULL")
+
+
 def term_frequencies(df: DataFrame, doc: str, tokens: str = "tokens") -> DataFrame:
     """``(doc, term, tf)``: occurrences of each term in each document."""
-    return df.select(doc, F.explode(tokens).alias("term")).groupBy(doc, "term").agg(F.count(F.lit(1)).alias("tf"))
+    return _terms(df, tokens, doc).groupBy(doc, "term").agg(F.count(F.lit(1)).alias("tf"))
 
 
 def document_frequency(df: DataFrame, tokens: str = "tokens") -> DataFrame:
@@ -16,24 +25,25 @@ def document_frequency(df: DataFrame, tokens: str = "tokens") -> DataFrame:
 
     A document names each of its terms once, so counting needs one shuffle of partial counts.
     """
-    return (
-        df.select(F.explode(F.array_distinct(tokens)).alias("term"))
-        .groupBy("term")
-        .agg(F.count(F.lit(1)).alias("df"))
-    )
+    distinct = df.select(F.array_distinct(tokens).alias(tokens))
+    return _terms(distinct, tokens).groupBy("term").agg(F.count(F.lit(1)).alias("df"))
 
 
 def tf_idf_table(df: DataFrame, doc: str, tokens: str = "tokens", min_doc_freq: int = 2) -> DataFrame:
     """``(doc, term, tf, df, idf, weight)`` with idf = ln((documents + 1) / (df + 1)), 0 under ``min_doc_freq``.
 
-    The join is keyed by the term. Terms found in a large share of the documents make skewed
-    partitions, which Spark splits at run time; the other side has one row per term.
+    Document frequencies are counted from the term frequencies, so the texts are tokenized once and
+    both sides read the same shuffle. The join is keyed by the term. Terms found in a large share of
+    the documents make skewed partitions, which Spark splits at run time; the other side has one
+    row per term.
     """
     documents = df.agg(F.count(F.lit(1))).scalar()
     idf = F.when(F.col("df") >= min_doc_freq, F.log((documents + 1) / (F.col("df") + 1))).otherwise(0.0)
+    tf = term_frequencies(df, doc, tokens)
+    # Reading `tf` keeps both sides on one plan: an unused count would be pruned from this side.
+    frequency = tf.groupBy("term").agg(F.count_if(F.col("tf") > 0).alias("df"))
     return (
-        term_frequencies(df, doc, tokens)
-        .join(document_frequency(df, tokens), "term")
+        tf.join(frequency, "term")
         .withColumn("idf", idf)
         .withColumn("weight", F.col("tf") * F.col("idf"))
         .select(doc, "term", "tf", "df", "idf", "weight")

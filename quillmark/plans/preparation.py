@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from quillmark.functions import clean_text, normalize_text, stylometry
 from quillmark.operators.dedup import dedup_exact, subset_rank
-from quillmark.operators.reshape import drop_empty, drop_missing, encode_label, melt_texts, union_subsets
+from quillmark.operators.reshape import computed, drop_empty, drop_missing, encode_label, melt_texts, union_subsets
 from quillmark.profiles import ARABIC, LanguageProfile
 from quillmark.sources.files import SUBSETS, read_wide
 
@@ -26,9 +26,8 @@ def load_long(
 
 def add_clean_texts(df: DataFrame, profile: LanguageProfile = ARABIC, text: str = "text") -> DataFrame:
     """Add ``cleaned_text`` and ``processed_text``."""
-    return df.withColumn("cleaned_text", clean_text(text)).withColumn(
-        "processed_text", normalize_text("cleaned_text", profile)
-    )
+    cleaned = df.withColumn("cleaned_text", clean_text(text))
+    return cleaned.withColumn("processed_text", normalize_text("cleaned_text", profile))
 
 
 def preprocess(
@@ -40,7 +39,8 @@ def preprocess(
     """
     order = order or [subset_rank("subset", list(subsets)), F.col("category")]
     kept = dedup_exact(drop_missing(df, ["text", "category"]), "text", order)
-    return drop_empty(add_clean_texts(kept, profile))
+    cleaned = kept.withColumn("cleaned_text", clean_text("text"))
+    return drop_empty(computed(cleaned, "processed_text", normalize_text("cleaned_text", profile)))
 
 
 def add_style(df: DataFrame, profile: LanguageProfile = ARABIC) -> DataFrame:
