@@ -17,7 +17,7 @@ BLANK = f"[{WS}]"
 NONBLANK = f"[^{WS}]"
 
 # A character that does not end a physical line. Whole class.
-IN_LINE = r"[^\n\x0b\f\r\x1c-\x1e\x85&&[^\u2028\u2029]]"
+IN_LINE = r"[[^\n\x0b\f\r\x1c-\x1e\x85]&&[^\u2028\u2029]]"
 
 # Word characters: letters, numbers of any kind, underscore. Body of a class.
 WORD = r"\p{L}\p{N}_"
@@ -29,3 +29,14 @@ TOKEN_END = f"(?!{NONBLANK})"
 # Zero-width word boundaries around a letter.
 WORD_START = f"(?<![{WORD}])"
 WORD_END = f"(?![{WORD}])"
+
+
+def none_of(chars: str, *bodies: str) -> str:
+    """Whole class of the characters that are neither in ``chars`` nor in the class bodies.
+
+    Written as an intersection of small negated classes: one negated class with members beyond
+    Latin-1 takes ten times as long to match.
+    """
+    plain = "".join(f"\\{c}" for c in chars if ord(c) < 128)
+    parts = [plain, *(c for c in chars if ord(c) >= 128), *bodies]
+    return "[" + "&&".join(f"[^{part}]" for part in parts if part) + "]"

@@ -36,16 +36,16 @@ def keep_script(c, profile: LanguageProfile = ARABIC) -> Column:
 def normalize_text(c, profile: LanguageProfile = ARABIC) -> Column:
     """Fold, strip marks, keep the script, drop stopwords and one-letter tokens, stem.
 
-    The token rules act on the text itself, anchored at blanks, rather than on a token array:
-    same result as tokenising, filtering, stemming each token and joining, but without a
-    per-token lambda, so the whole chain stays in generated code.
+    The token rules act on the text itself rather than on a token array. Every token is matched as
+    a whole: one to drop, or an optional prefix, the stem as group 1 and an optional suffix. The
+    stem is as short as its minimum allows, which makes the suffix the longest that fits. Same
+    result as tokenising, filtering, stemming each token and joining, in one pass of generated code.
     """
-    c = F.coalesce(_col(c), F.lit(""))
-    for rule in (fold_letters, fold_final, strip_marks, keep_script):
-        c = rule(c, profile)
-    dropped = f"{U}{TOKEN_START}(?:{NONBLANK}|{affixes(profile.stopwords)}){TOKEN_END}"
-    prefix = f"{U}{TOKEN_START}(?:{affixes(profile.prefixes)})(?={NONBLANK}{{{profile.min_stem}}})"
-    suffix = f"{U}(?<={NONBLANK}{{{profile.min_stem}}})(?:{affixes(profile.suffixes)}){TOKEN_END}"
-    for pattern in (dropped, prefix, suffix):
-        c = F.regexp_replace(c, pattern, "")
+    keep = profile.min_stem
+    dropped = f"(?:{NONBLANK}|{affixes(profile.stopwords)}){TOKEN_END}"
+    prefix = f"(?:(?:{affixes(profile.prefixes)})(?={NONBLANK}{{{keep}}}))?+"
+    stem = f"({NONBLANK}{{{keep},}}?)(?:{affixes(profile.suffixes)})?{TOKEN_END}"
+    c = fold_final(fold_letters(F.coalesce(_col(c), F.lit("")), profile), profile)
+    c = F.regexp_replace(c, rf"{U}[{profile.mark_class}[\S&&[^\x1c-\x1f{profile.keep_class}]]]+", "")
+    c = F.regexp_replace(c, f"{U}{TOKEN_START}(?:{dropped}|{prefix}{stem})", "$1")
     return squeeze_space(c)

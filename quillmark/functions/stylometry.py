@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quillmark.charclasses import IN_LINE, NONBLANK, TOKEN_END, TOKEN_START, U, WORD, WS
+from quillmark.charclasses import BLANK, IN_LINE, NONBLANK, TOKEN_END, TOKEN_START, U, WORD, WS, none_of
 from quillmark.functions.cleaning import _col, squeeze_space
 from quillmark.functions.tokens import pairs_of, tokenize_ws
 from quillmark.profiles import ARABIC, LanguageProfile
@@ -61,11 +61,12 @@ def total_physical_lines(c) -> Column:
 
 def total_sentences(c, profile: LanguageProfile = ARABIC) -> Column:
     """Segments between punctuation marks with a word character and over 3 characters, at least 1."""
-    d = profile.segment_class
+    inside = none_of(profile.segment_marks)
+    outer = none_of(profile.segment_marks + " ")
     pattern = (
-        f"(?<![^{d}])"  # a segment starts here
-        f"(?=[^{d}{WORD}]*+[{WORD}])"  # it has a word character
-        f" ?+[^{d} ][^{d}]{{{MIN_SEGMENT - 2},}}[^{d} ]"  # and is long enough without outer blanks
+        f"(?<!{inside})"  # a segment starts here
+        f"(?={none_of(profile.segment_marks, WORD)}*+[{WORD}])"  # it has a word character
+        f" ?+{outer}{inside}{{{MIN_SEGMENT - 2},}}{outer}"  # and is long enough without outer blanks
     )
     return F.greatest(F.lit(1), _count(squeeze_space(c), pattern))
 
@@ -87,11 +88,12 @@ def foreign_letters_ratio(c, profile: LanguageProfile = ARABIC) -> Column:
 
 def active_voice_count(c, profile: LanguageProfile = ARABIC) -> Column:
     """Sentences over 3 characters without a passive marker."""
-    s = profile.sentence_class
+    inside = none_of(profile.sentence_marks)
+    outer = none_of(profile.sentence_marks, WS)
     pattern = (
-        f"(?<![^{s}])[{WS}]*+"
-        f"(?![^{s}]*?(?:{profile.passive_pattern}))"
-        f"[^{s}{WS}][^{s}]{{{MIN_SEGMENT - 2},}}[^{s}{WS}]"
+        f"(?<!{inside}){BLANK}*+"
+        f"(?!{inside}*?(?:{profile.passive_pattern}))"
+        f"{outer}{inside}{{{MIN_SEGMENT - 2},}}{outer}"
     )
     return _count(_col(c), pattern)
 

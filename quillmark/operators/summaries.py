@@ -117,7 +117,9 @@ def ttr_histogram(df: DataFrame, bins: int = 40, label: str = LABEL, value: str
         .groupBy(label, "v")
         .agg(_n().alias("n"))
     )
-    low, high = F.min("v"), F.max("v")
+    # Reading `n` keeps this aggregate on the counts: without it Spark would go back to the texts.
+    seen = F.when(F.col("n") > 0, F.col("v"))
+    low, high = F.min(seen), F.max(seen)
     ranges = counts.groupBy(F.col(label).alias("_class")).agg(
         F.when(low == high, low - 0.5).otherwise(low).alias("low"),
         F.when(low == high, high + 0.5).otherwise(high).alias("high"),

@@ -26,8 +26,8 @@ class LanguageProfile:
     stopwords: tuple[str, ...]
     prefixes: tuple[str, ...]
     suffixes: tuple[str, ...]
-    segment_class: str  # marks that separate the segments counted as sentences
-    sentence_class: str  # marks that end a sentence when voice is judged
+    segment_marks: str  # marks that separate the segments counted as sentences
+    sentence_marks: str  # marks that end a sentence when voice is judged
     passive_pattern: str  # what a sentence in passive voice contains
     min_stem: int = 3  # letters an affix must leave
 
@@ -69,8 +69,8 @@ ARABIC = LanguageProfile(
     ),
     prefixes=("ال", "بال", "كال", "فال", "وال", "لل", "و", "ف", "ب", "ل", "ك", "س", "ست", "سي", "ا"),
     suffixes=("ون", "ين", "ات", "ها", "هم", "هن", "نا", "كم", "كن", "ك", "ه", "ة", "ت", "ا", "ي"),
-    segment_class=r".!?\u061f\u061b:\u060c\-\u2013()\"\[\]",
-    sentence_class=r".!?\u061f\u061b",
+    segment_marks='.!?؟؛:،-–()"[]',
+    sentence_marks=".!?؟؛",
     passive_pattern=(
         WORD_START + r"\u0623\u064f[\u064b-\u065f]?[\u0627-\u064a]|" + WORD_START + r"\u0627\u0633\u062a\u0651"
     ),
@@ -97,8 +97,8 @@ LATIN = LanguageProfile(
     ),
     prefixes=("under", "over", "anti", "inter", "re", "un", "in", "ge", "de"),
     suffixes=("ations", "ation", "ments", "ment", "tions", "tion", "ings", "ing", "ers", "er", "ed", "es", "ly", "en", "s"),
-    segment_class=r".!?:;,\-\u2013()\"\[\]",
-    sentence_class=r".!?;",
+    segment_marks='.!?:;,-–()"[]',
+    sentence_marks=".!?;",
     passive_pattern=(
         WORD_START + rf"(?:was|were|is|are|been|being){BLANK}+\p{{L}}+ed" + WORD_END
     ),
