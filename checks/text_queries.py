@@ -250,3 +250,22 @@ def stylometry_arabic(spark, sf_dir):
 def doc_ttr(spark, sf_dir):
     rows = fn.ttr_columns(t.processed(spark, sf_dir))
     return rows.select("doc_id", "unique_tokens", "token_count", _six(F.col("doc_ttr"), "doc_ttr"))
+
+
+
+
+@query(
+    "sql_functions",
+    f"""WITH docs AS (SELECT doc_id, text FROM documents), {q.clean_ctes('docs')}, {q.style_ctes(LATIN)}
+        SELECT doc_id, cleaned_text, {q.normalized('cleaned_text', LATIN)} AS processed_text, {q.measures()} FROM styled""",
+)
+def sql_functions(spark, sf_dir):
+    fn.register_sql_functions(spark, LATIN)
+    t.documents(spark, sf_dir).createOrReplaceTempView("qm_documents")
+    raw = ("total_physical_lines", "total_sentences", "foreign_letters_count", "foreign_letters_ratio", "active_voice_count")
+    calls = (f"qm_{c}({'text' if c in raw else 'cleaned_text'}) AS {c}" for c in q.ALL_MEASURES)
+    rows = spark.sql(
+        f"""WITH c AS (SELECT doc_id, text, qm_clean_text(text) AS cleaned_text FROM qm_documents)
+            SELECT doc_id, cleaned_text, qm_normalize_text(cleaned_text) AS processed_text, {', '.join(calls)} FROM c"""
+    )
+    return _measures(rows, "doc_id", "cleaned_text", "processed_text")

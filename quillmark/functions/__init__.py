@@ -11,6 +11,7 @@ from quillmark.functions.cleaning import (
     strip_urls,
 )
 from quillmark.functions.normalizing import fold_final, fold_letters, keep_script, normalize_text, strip_marks
+from quillmark.functions.sql import register_sql_functions
 from quillmark.functions.stylometry import (
     STYLO_COLUMNS,
     active_voice_count,

@@ -20,6 +20,10 @@ DIGITS = r"\p{Nd}+"
 REPEATED_MARK = r"([\u061f!.,])\1++"
 ELONGATION = r"([^\n])\1{2,}+"
 BLANKS = f"{U}{BLANK}+"
+# Two neighbouring rules in one pass. That cannot change the result: an e-mail address is matched at
+# its first character, before any digit in it, and squeezing marks never brings others together.
+EMAIL_OR_DIGITS = f"{EMAIL}|{DIGITS}"
+REPEATED = rf"{REPEATED_MARK}|([^\n])\2{{2,}}+"
 
 
 def _col(c) -> Column:
@@ -69,13 +73,7 @@ def squeeze_space(c) -> Column:
 
 
 def clean_text(c) -> Column:
-    """All cleaning rules in their fixed order; null gives the empty string.
-
-    Two neighbouring rules share a pass where that cannot change the result: an e-mail address is
-    matched at its first character, before any digit in it, and squeezing marks never brings other
-    characters together.
-    """
+    """All cleaning rules in their fixed order; null gives the empty string."""
     c = strip_urls(strip_html(F.coalesce(_col(c), F.lit(""))))
-    c = F.regexp_replace(c, f"{EMAIL}|{DIGITS}", "")
-    c = F.regexp_replace(c, rf"{REPEATED_MARK}|([^\n])\2{{2,}}+", "$1$2")
-    return squeeze_space(c)
+    c = F.regexp_replace(c, EMAIL_OR_DIGITS, "")
+    return squeeze_space(F.regexp_replace(c, REPEATED, "$1$2"))

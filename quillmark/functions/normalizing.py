@@ -33,19 +33,29 @@ def keep_script(c, profile: LanguageProfile = ARABIC) -> Column:
     return F.regexp_replace(_col(c), rf"{U}[\S&&[^\x1c-\x1f{profile.keep_class}]]+", "")
 
 
-def normalize_text(c, profile: LanguageProfile = ARABIC) -> Column:
-    """Fold, strip marks, keep the script, drop stopwords and one-letter tokens, stem.
+def unwanted_pattern(profile: LanguageProfile) -> str:
+    """Diacritics, and characters that are neither kept by the profile nor white space."""
+    return rf"{U}[{profile.mark_class}[\S&&[^\x1c-\x1f{profile.keep_class}]]]+"
+
 
-    The token rules act on the text itself rather than on a token array. Every token is matched as
-    a whole: one to drop, or an optional prefix, the stem as group 1 and an optional suffix. The
-    stem is as short as its minimum allows, which makes the suffix the longest that fits. Same
-    result as tokenising, filtering, stemming each token and joining, in one pass of generated code.
+def token_pattern(profile: LanguageProfile) -> str:
+    """A whole token: one to drop, or an optional prefix, the stem as group 1 and an optional suffix.
+
+    The stem is as short as its minimum allows, which makes the suffix the longest that fits.
     """
     keep = profile.min_stem
     dropped = f"(?:{NONBLANK}|{affixes(profile.stopwords)}){TOKEN_END}"
     prefix = f"(?:(?:{affixes(profile.prefixes)})(?={NONBLANK}{{{keep}}}))?+"
     stem = f"({NONBLANK}{{{keep},}}?)(?:{affixes(profile.suffixes)})?{TOKEN_END}"
+    return f"{U}{TOKEN_START}(?:{dropped}|{prefix}{stem})"
+
+
+def normalize_text(c, profile: LanguageProfile = ARABIC) -> Column:
+    """Fold, strip marks, keep the script, drop stopwords and one-letter tokens, stem.
+
+    The token rules act on the text itself rather than on a token array: same result as tokenising,
+    filtering, stemming each token and joining, in one pass of generated code.
+    """
     c = fold_final(fold_letters(F.coalesce(_col(c), F.lit("")), profile), profile)
-    c = F.regexp_replace(c, rf"{U}[{profile.mark_class}[\S&&[^\x1c-\x1f{profile.keep_class}]]]+", "")
-    c = F.regexp_replace(c, f"{U}{TOKEN_START}(?:{dropped}|{prefix}{stem})", "$1")
-    return squeeze_space(c)
+    c = F.regexp_replace(c, unwanted_pattern(profile), "")
+    return squeeze_space(F.regexp_replace(c, token_pattern(profile), "$1"))

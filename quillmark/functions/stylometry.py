@@ -32,21 +32,53 @@ STYLO_COLUMNS = (
 
 
 def _count(c: Column, pattern: str) -> Column:
-    return F.coalesce(F.regexp_count(c, F.lit(U + pattern)), F.lit(0))
+    return F.coalesce(F.regexp_count(c, F.lit(pattern)), F.lit(0))
 
 
 def _ratio(part: Column, whole: Column) -> Column:
     return F.coalesce(F.try_divide(part, whole), F.lit(0.0)).cast("float")
 
 
+WORDS = f"{U}{NONBLANK}+"
+# A line counts from its first non-blank character.
+LINES = f"{U}{NONBLANK}{IN_LINE}*+"
+NOT_LETTERS = r"\P{L}+"
+
+
+def short_word_pattern(short: int = SHORT_WORD) -> str:
+    """A token of at most ``short`` characters."""
+    return f"{U}{TOKEN_START}{NONBLANK}{{1,{short}}}{TOKEN_END}"
+
+
+def segment_pattern(profile: LanguageProfile) -> str:
+    """A run without segment marks that has a word character and over 3 characters between blanks."""
+    inside = none_of(profile.segment_marks)
+    outer = none_of(profile.segment_marks + " ")
+    word_ahead = f"(?={none_of(profile.segment_marks, WORD)}*+[{WORD}])"
+    return f"{U}(?<!{inside}){word_ahead} ?+{outer}{inside}{{{MIN_SEGMENT - 2},}}{outer}"
+
+
+def active_pattern(profile: LanguageProfile) -> str:
+    """A run without sentence marks, over 3 characters between blanks, without a passive marker."""
+    inside = none_of(profile.sentence_marks)
+    outer = none_of(profile.sentence_marks, WS)
+    no_passive = f"(?!{inside}*?(?:{profile.passive_pattern}))"
+    return f"{U}(?<!{inside}){BLANK}*+{no_passive}{outer}{inside}{{{MIN_SEGMENT - 2},}}{outer}"
+
+
+def not_foreign_pattern(profile: LanguageProfile) -> str:
+    """Everything but letters of other scripts."""
+    return rf"[\P{{L}}{profile.letter_class}]+"
+
+
 def total_words(c) -> Column:
     """White-space tokens."""
-    return _count(_col(c), f"{NONBLANK}+")
+    return _count(_col(c), WORDS)
 
 
 def short_words_count(c, short: int = SHORT_WORD) -> Column:
     """Tokens of at most ``short`` characters."""
-    return _count(_col(c), f"{TOKEN_START}{NONBLANK}{{1,{short}}}{TOKEN_END}")
+    return _count(_col(c), short_word_pattern(short))
 
 
 def short_words_ratio(c, short: int = SHORT_WORD) -> Column:
@@ -55,47 +87,33 @@ def short_words_ratio(c, short: int = SHORT_WORD) -> Column:
 
 
 def total_physical_lines(c) -> Column:
-    """Lines that are not blank, at least 1. A line counts from its first non-blank character."""
-    return F.greatest(F.lit(1), _count(_col(c), f"{NONBLANK}{IN_LINE}*+"))
+    """Lines that are not blank, at least 1."""
+    return F.greatest(F.lit(1), _count(_col(c), LINES))
 
 
 def total_sentences(c, profile: LanguageProfile = ARABIC) -> Column:
     """Segments between punctuation marks with a word character and over 3 characters, at least 1."""
-    inside = none_of(profile.segment_marks)
-    outer = none_of(profile.segment_marks + " ")
-    pattern = (
-        f"(?<!{inside})"  # a segment starts here
-        f"(?={none_of(profile.segment_marks, WORD)}*+[{WORD}])"  # it has a word character
-        f" ?+{outer}{inside}{{{MIN_SEGMENT - 2},}}{outer}"  # and is long enough without outer blanks
-    )
-    return F.greatest(F.lit(1), _count(squeeze_space(c), pattern))
+    return F.greatest(F.lit(1), _count(squeeze_space(c), segment_pattern(profile)))
 
 
-def _letters(c: Column) -> Column:
-    return F.coalesce(F.length(F.regexp_replace(c, r"\P{L}+", "")), F.lit(0))
+def _rest(c: Column, pattern: str) -> Column:
+    """Characters left without the matches."""
+    return F.coalesce(F.length(F.regexp_replace(c, pattern, "")), F.lit(0))
 
 
 def foreign_letters_count(c, profile: LanguageProfile = ARABIC) -> Column:
     """Letters of any script but the profile's."""
-    foreign = F.regexp_replace(_col(c), rf"[\P{{L}}{profile.letter_class}]+", "")
-    return F.coalesce(F.length(foreign), F.lit(0))
+    return _rest(_col(c), not_foreign_pattern(profile))
 
 
 def foreign_letters_ratio(c, profile: LanguageProfile = ARABIC) -> Column:
     """Share of foreign letters among all letters."""
-    return _ratio(foreign_letters_count(c, profile), _letters(_col(c)))
+    return _ratio(foreign_letters_count(c, profile), _rest(_col(c), NOT_LETTERS))
 
 
 def active_voice_count(c, profile: LanguageProfile = ARABIC) -> Column:
     """Sentences over 3 characters without a passive marker."""
-    inside = none_of(profile.sentence_marks)
-    outer = none_of(profile.sentence_marks, WS)
-    pattern = (
-        f"(?<!{inside}){BLANK}*+"
-        f"(?!{inside}*?(?:{profile.passive_pattern}))"
-        f"{outer}{inside}{{{MIN_SEGMENT - 2},}}{outer}"
-    )
-    return _count(_col(c), pattern)
+    return _count(_col(c), active_pattern(profile))
 
 
 def redundancy_score(c) -> Column:
