@@ -10,6 +10,7 @@ from checks.registry import query
 from quillmark.functions import tokenize_ws, ttr_columns
 from quillmark.functions.stylometry import STYLO_COLUMNS
 from quillmark.operators import corpus, dedup, labels, reshape, summaries
+from quillmark.plans import reports
 from quillmark.plans.preparation import preprocess
 from quillmark.profiles import LATIN
 from quillmark.sources import files, streams
@@ -498,3 +499,32 @@ def stopword_anti_join(spark, sf_dir):
     stop = spark.createDataFrame([(w,) for w in LATIN.stopwords], "token string")
     tokens = t.documents(spark, sf_dir).select("doc_id", F.explode(tokenize_ws("text")).alias("token"))
     return labels.stopword_anti_join(tokens, stop).groupBy("doc_id", "token").agg(F.count(F.lit(1)).alias("n"))
+
+
+# ---- reports from stored counts -------------------------------------------------------------
+
+
+@query(
+    "corpus_report",
+    f"""WITH {_STATS}, ranked AS (SELECT kind, class, term, n, row_number() OVER (PARTITION BY kind, class ORDER BY n DESC, term) AS rank FROM counts)
+        SELECT 'top' AS part, kind || ' ' || class || ' ' || term AS name, n::DOUBLE AS value FROM ranked WHERE rank <= 20
+        UNION ALL SELECT 'tokens', class, total_tokens::DOUBLE FROM stats
+        UNION ALL SELECT 'hapax', class, round(hapax_ratio, 6) FROM stats""",
+)
+def corpus_report(spark, sf_dir):
+    report = reports.corpus_report(t.processed(spark, sf_dir), scratch_dir(spark, "report"))
+    top = report["top_words"].unionByName(report["top_bigrams"])
+    name = F.concat_ws(" ", "kind", "class", "term")
+    rows = [top.select(F.lit("top").alias("part"), name.alias("name"), F.col("n").cast("double").alias("value"))]
+    for part, column in (("tokens", F.col("total_tokens").cast("double")), ("hapax", F.round("hapax_ratio", 6))):
+        rows.append(report["stats"].select(F.lit(part).alias("part"), F.col("class").alias("name"), column.alias("value")))
+    return reshape.union_subsets(rows)
+
+
+@query(
+    "explore_corpus",
+    f"""WITH {_TTR} SELECT category_encode, round(avg(doc_ttr), 6) AS ttr_doc_mean, count(*) AS n_docs FROM ttr GROUP BY 1""",
+)
+def explore_corpus(spark, sf_dir):
+    found = reports.explore(t.processed(spark, sf_dir), scratch_dir(spark, "explore"))
+    return found["ttr"].select("category_encode", _six("ttr_doc_mean"), "n_docs")

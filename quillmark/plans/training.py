@@ -60,13 +60,12 @@ def train_all(
     """Fit classifiers one after the other; return the models and the metrics of val and test.
 
     Metrics are ``(model, split, metric, value)``, with the training time as a metric of ``train``.
+    The training split is not cached: each classifier reads the stored features and keeps its own
+    compact form of them while it learns.
     """
     spark = tables.spark
-    training = tables.split("train").select(LABEL, features).persist()
-    try:
-        fitted = {name: train(name, training, features, **(params or {}).get(name, {})) for name in names}
-    finally:
-        training.unpersist()
+    training = tables.split("train").select(LABEL, features)
+    fitted = {name: train(name, training, features, **(params or {}).get(name, {})) for name in names}
     models = {name: model for name, (model, _) in fitted.items()}
     runs = scored_runs(models, {s: tables.split(s).select(LABEL, features) for s in ("val", "test")})
     times = spark.createDataFrame(
