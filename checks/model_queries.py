@@ -153,12 +153,14 @@ def prediction_view(spark, sf_dir):
     return _known(reshape.prediction_view(_pipeline(spark, sf_dir).transform(docs), "category_encode"))
 
 
-@query("model_roundtrip")
+@query("model_roundtrip", "SELECT doc_id, TRUE AS same FROM documents")
 def model_roundtrip(spark, sf_dir):
-    path = scratch_dir(spark, "model")
-    artifacts.save_model(_pipeline(spark, sf_dir), path)
-    scored = models.score(artifacts.load_model(path), t.styled(spark, sf_dir))
-    return scored.select("doc_id", "prediction", "score")
+    path, model = scratch_dir(spark, "model"), _pipeline(spark, sf_dir)
+    artifacts.save_model(model, path)
+    docs = t.styled(spark, sf_dir)
+    both = (models.score(m, docs).select("doc_id", F.struct("prediction", "score").alias(n)) for m, n in ((model, "a"), (artifacts.load_model(path), "b")))
+    first, second = both
+    return first.join(second, "doc_id", "full").select("doc_id", F.col("a").eqNullSafe(F.col("b")).alias("same"))
 
 
 # ---- metrics, on scores that both engines derive from the id --------------------------------
@@ -316,6 +318,19 @@ def stream_file_score(spark, sf_dir):
     return spark.read.parquet(f"{root}/out").drop("processed_at")
 
 
+@query("stream_equals_batch", "SELECT count(*) AS n_rows, 0 AS n_different FROM conversations")
+def stream_equals_batch(spark, sf_dir):
+    """Scores of the stream against scores of the same messages in one batch."""
+    root, model, messages = scratch_dir(spark, "stream-equal"), _pipeline(spark, sf_dir), t.messages(spark, sf_dir)
+    _drop(messages, f"{root}/in")
+    _run(spark, f"{root}/in", f"{root}/out", f"{root}/checkpoint", model)
+    cols = ("text_preview", "true_label", "predicted_label", "p_human", "short_words_ratio")
+    stream = spark.read.parquet(f"{root}/out").select(*cols, F.lit(1).alias("side"))
+    batch = reshape.prediction_view(model.transform(scoring.stream_features(messages, LATIN))).select(*cols, F.lit(-1).alias("side"))
+    groups = stream.unionByName(batch).groupBy(*cols).agg(F.sum("side").alias("excess"), F.count_if(F.col("side") == 1).alias("n"))
+    return groups.agg(F.sum("n").alias("n_rows"), F.sum(F.abs("excess")).alias("n_different"))
+
+
 @query("stream_count", "SELECT count(*) AS n_records FROM conversations")
 def stream_count(spark, sf_dir):
     root = scratch_dir(spark, "stream-count")

@@ -55,11 +55,11 @@ def definitions(profile: LanguageProfile = ARABIC) -> dict[str, tuple[str, str]]
             f"{PREFIX}squeeze_space({_replace(_replace(f'{PREFIX}strip_urls({PREFIX}strip_html(coalesce(t, {_text("")})))', cl.EMAIL_OR_DIGITS), cl.REPEATED, '$1$2')})",
         ),
         "normalize_text": ("STRING", f"trim({_replace(_replace(wanted, nm.token_pattern(p), '$1'), cl.BLANKS, ' ')})"),
-        "total_words": ("INT", _count(st.WORDS)),
+        "total_words": ("INT", f"size({tokens})"),
         "short_words_count": ("INT", _count(st.short_word_pattern())),
         "short_words_ratio": ("FLOAT", _ratio(_call("short_words_count"), _call("total_words"))),
         "total_physical_lines": ("INT", f"greatest(1, {_count(st.LINES)})"),
-        "total_sentences": ("INT", f"greatest(1, coalesce(regexp_count({space}, {_text(st.segment_pattern(p))}), 0))"),
+        "total_sentences": ("INT", f"greatest(1, {_count(st.segment_pattern(p))})"),
         "foreign_letters_count": ("INT", f"coalesce(length({_replace('t', st.not_foreign_pattern(p))}), 0)"),
         "foreign_letters_ratio": (
             "FLOAT",

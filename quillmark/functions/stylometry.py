@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quillmark.charclasses import BLANK, IN_LINE, NONBLANK, TOKEN_END, TOKEN_START, U, WORD, WS, none_of
-from quillmark.functions.cleaning import _col, squeeze_space
+from quillmark.functions.cleaning import _col
 from quillmark.functions.tokens import pairs_of, tokenize_ws
 from quillmark.profiles import ARABIC, LanguageProfile
 
@@ -39,7 +39,6 @@ def _ratio(part: Column, whole: Column) -> Column:
     return F.coalesce(F.try_divide(part, whole), F.lit(0.0)).cast("float")
 
 
-WORDS = f"{U}{NONBLANK}+"
 # A line counts from its first non-blank character.
 LINES = f"{U}{NONBLANK}{IN_LINE}*+"
 NOT_LETTERS = r"\P{L}+"
@@ -51,11 +50,15 @@ def short_word_pattern(short: int = SHORT_WORD) -> str:
 
 
 def segment_pattern(profile: LanguageProfile) -> str:
-    """A run without segment marks that has a word character and over 3 characters between blanks."""
+    """A run without segment marks that has a word character and over 3 characters between blanks.
+
+    A blank run counts as one character: the run starts with a non-blank, goes on for two non-blanks
+    or blank runs and then holds another non-blank.
+    """
     inside = none_of(profile.segment_marks)
-    outer = none_of(profile.segment_marks + " ")
+    solid = none_of(profile.segment_marks, WS)
     word_ahead = f"(?={none_of(profile.segment_marks, WORD)}*+[{WORD}])"
-    return f"{U}(?<!{inside}){word_ahead} ?+{outer}{inside}{{{MIN_SEGMENT - 2},}}{outer}"
+    return f"{U}(?<!{inside}){word_ahead}{BLANK}*+{solid}(?:{BLANK}++|{solid}){{{MIN_SEGMENT - 2}}}{BLANK}*+{solid}"
 
 
 def active_pattern(profile: LanguageProfile) -> str:
@@ -73,7 +76,7 @@ def not_foreign_pattern(profile: LanguageProfile) -> str:
 
 def total_words(c) -> Column:
     """White-space tokens."""
-    return _count(_col(c), WORDS)
+    return F.size(tokenize_ws(c))
 
 
 def short_words_count(c, short: int = SHORT_WORD) -> Column:
@@ -93,7 +96,7 @@ def total_physical_lines(c) -> Column:
 
 def total_sentences(c, profile: LanguageProfile = ARABIC) -> Column:
     """Segments between punctuation marks with a word character and over 3 characters, at least 1."""
-    return F.greatest(F.lit(1), _count(squeeze_space(c), segment_pattern(profile)))
+    return F.greatest(F.lit(1), _count(_col(c), segment_pattern(profile)))
 
 
 def _rest(c: Column, pattern: str) -> Column:
