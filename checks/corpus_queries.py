@@ -8,7 +8,6 @@ from checks import sql as q
 from checks import tables as t
 from checks.registry import query
 from quillmark.functions import tokenize_ws, ttr_columns
-from quillmark.functions.stylometry import STYLO_COLUMNS
 from quillmark.operators import corpus, dedup, labels, reshape, summaries
 from quillmark.plans import reports
 from quillmark.plans.preparation import preprocess

@@ -4,10 +4,27 @@ from __future__ import annotations
 
 from pyspark.sql import SparkSession
 
-from quillmark.functions import cleaning as cl
-from quillmark.functions import normalizing as nm
-from quillmark.functions import stylometry as st
 from quillmark.charclasses import NONBLANK, U, WORD_END
+from quillmark.functions.cleaning import (
+    BLANKS,
+    DIGITS,
+    ELONGATION,
+    EMAIL,
+    EMAIL_OR_DIGITS,
+    REPEATED,
+    REPEATED_MARK,
+    TAG,
+    URL,
+)
+from quillmark.functions.normalizing import token_pattern, unwanted_pattern
+from quillmark.functions.stylometry import (
+    LINES,
+    NOT_LETTERS,
+    active_pattern,
+    not_foreign_pattern,
+    segment_pattern,
+    short_word_pattern,
+)
 from quillmark.profiles import ARABIC, LanguageProfile
 
 PREFIX = "qm_"
@@ -38,34 +55,35 @@ def definitions(profile: LanguageProfile = ARABIC) -> dict[str, tuple[str, str]]
     p = profile
     tail = "substring_index(t, '>', -1)"
     fold = f"translate(coalesce(t, ''), {_text(p.fold_from)}, {_text(p.fold_to)})"
-    wanted = _replace(_replace(fold, p.final_from + WORD_END, p.final_to), nm.unwanted_pattern(p))
+    wanted = _replace(_replace(fold, p.final_from + WORD_END, p.final_to), unwanted_pattern(p))
     tokens = f"regexp_extract_all(coalesce(t, ''), {_text(U + NONBLANK + '+')}, 0)"
     pairs = f"regexp_extract_all(array_join({tokens}, ' '), {_text('(?<![^ ])(?=([^ ]+ [^ ]+))[^ ]++')}, 1)"
-    space = f"trim({_replace('t', cl.BLANKS, ' ')})"
+    no_links = f"{PREFIX}strip_urls({PREFIX}strip_html(coalesce(t, '')))"
+    space = f"trim({_replace('t', BLANKS, ' ')})"
     return {
-        "strip_html": ("STRING", f"concat({_replace(f'left(t, length(t) - length({tail}))', cl.TAG)}, {tail})"),
-        "strip_urls": ("STRING", _replace("t", cl.URL)),
-        "strip_emails": ("STRING", _replace("t", cl.EMAIL)),
-        "strip_digits": ("STRING", _replace("t", cl.DIGITS)),
-        "squeeze_punct": ("STRING", _replace("t", cl.REPEATED_MARK, "$1")),
-        "squeeze_elongation": ("STRING", _replace("t", cl.ELONGATION, "$1")),
+        "strip_html": ("STRING", f"concat({_replace(f'left(t, length(t) - length({tail}))', TAG)}, {tail})"),
+        "strip_urls": ("STRING", _replace("t", URL)),
+        "strip_emails": ("STRING", _replace("t", EMAIL)),
+        "strip_digits": ("STRING", _replace("t", DIGITS)),
+        "squeeze_punct": ("STRING", _replace("t", REPEATED_MARK, "$1")),
+        "squeeze_elongation": ("STRING", _replace("t", ELONGATION, "$1")),
         "squeeze_space": ("STRING", space),
         "clean_text": (
             "STRING",
-            f"{PREFIX}squeeze_space({_replace(_replace(f'{PREFIX}strip_urls({PREFIX}strip_html(coalesce(t, {_text("")})))', cl.EMAIL_OR_DIGITS), cl.REPEATED, '$1$2')})",
+            f"{PREFIX}squeeze_space({_replace(_replace(no_links, EMAIL_OR_DIGITS), REPEATED, '$1$2')})",
         ),
-        "normalize_text": ("STRING", f"trim({_replace(_replace(wanted, nm.token_pattern(p), '$1'), cl.BLANKS, ' ')})"),
+        "normalize_text": ("STRING", f"trim({_replace(_replace(wanted, token_pattern(p), '$1'), BLANKS, ' ')})"),
         "total_words": ("INT", f"size({tokens})"),
-        "short_words_count": ("INT", _count(st.short_word_pattern())),
+        "short_words_count": ("INT", _count(short_word_pattern())),
         "short_words_ratio": ("FLOAT", _ratio(_call("short_words_count"), _call("total_words"))),
-        "total_physical_lines": ("INT", f"greatest(1, {_count(st.LINES)})"),
-        "total_sentences": ("INT", f"greatest(1, {_count(st.segment_pattern(p))})"),
-        "foreign_letters_count": ("INT", f"coalesce(length({_replace('t', st.not_foreign_pattern(p))}), 0)"),
+        "total_physical_lines": ("INT", f"greatest(1, {_count(LINES)})"),
+        "total_sentences": ("INT", f"greatest(1, {_count(segment_pattern(p))})"),
+        "foreign_letters_count": ("INT", f"coalesce(length({_replace('t', not_foreign_pattern(p))}), 0)"),
         "foreign_letters_ratio": (
             "FLOAT",
-            _ratio(_call("foreign_letters_count"), f"length({_replace('t', st.NOT_LETTERS)})"),
+            _ratio(_call("foreign_letters_count"), f"length({_replace('t', NOT_LETTERS)})"),
         ),
-        "active_voice_count": ("INT", _count(st.active_pattern(p))),
+        "active_voice_count": ("INT", _count(active_pattern(p))),
         "redundancy_score": (
             "FLOAT",
             f"CAST(coalesce(1 - try_divide(size(array_distinct({pairs})), size({pairs})), 0.0D) AS FLOAT)",

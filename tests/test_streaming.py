@@ -1,7 +1,6 @@
 """Streams: equal to batch, once per message, restart, monitor, scratch folder."""
 
 import pytest
-from pyspark.sql import functions as F
 
 from checks import tables
 from checks.model_queries import _drop, _pipeline
