@@ -10,7 +10,7 @@ from checks.registry import query
 from quillmark.functions import tokenize_ws, ttr_columns
 from quillmark.operators import corpus, dedup, labels, reshape, summaries
 from quillmark.plans import reports
-from quillmark.plans.preparation import preprocess
+from quillmark.plans.preparation import add_clean_texts, preprocess
 from quillmark.profiles import LATIN
 from quillmark.sources import files, streams
 from quillmark.sources.scratch import scratch_dir
@@ -195,7 +195,7 @@ def dedup_report(spark, sf_dir):
 
 @query("drop_empty_processed", f"WITH {q.PROCESSED} SELECT doc_id, length(processed_text) AS n FROM processed WHERE length(processed_text) > 0")
 def drop_empty_processed(spark, sf_dir):
-    docs = reshape.drop_empty(t.processed(spark, sf_dir))
+    docs = reshape.drop_empty(add_clean_texts(t.arabic_docs(spark, sf_dir), filtered=True))
     return docs.select("doc_id", F.length("processed_text").alias("n"))
 
 

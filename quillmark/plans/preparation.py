@@ -24,10 +24,15 @@ def load_long(
     return encode_label(union_subsets(list(melted)), human).select("category", "text", "subset", "category_encode")
 
 
-def add_clean_texts(df: DataFrame, profile: LanguageProfile = ARABIC, text: str = "text") -> DataFrame:
-    """Add ``cleaned_text`` and ``processed_text``."""
+def add_clean_texts(
+    df: DataFrame, profile: LanguageProfile = ARABIC, text: str = "text", filtered: bool = False
+) -> DataFrame:
+    """Add ``cleaned_text`` and ``processed_text``; ``filtered`` if rows are to be filtered on the latter."""
     cleaned = df.withColumn("cleaned_text", clean_text(text))
-    return cleaned.withColumn("processed_text", normalize_text("cleaned_text", profile))
+    processed = normalize_text("cleaned_text", profile)
+    if filtered:
+        return computed(cleaned, "processed_text", processed)
+    return cleaned.withColumn("processed_text", processed)
 
 
 def preprocess(
@@ -39,8 +44,7 @@ def preprocess(
     """
     order = order or [subset_rank("subset", list(subsets)), F.col("category")]
     kept = dedup_exact(drop_missing(df, ["text", "category"]), "text", order)
-    cleaned = kept.withColumn("cleaned_text", clean_text("text"))
-    return drop_empty(computed(cleaned, "processed_text", normalize_text("cleaned_text", profile)))
+    return drop_empty(add_clean_texts(kept, profile, filtered=True))
 
 
 def add_style(df: DataFrame, profile: LanguageProfile = ARABIC) -> DataFrame:
