@@ -101,7 +101,7 @@ def test_class_weights(spark, tables):
 
 def test_raw_tables_to_corpus(spark, tmp_path):
     """Wide subsets to a written corpus, read back."""
-    wide = "original_abstract string, allam_generated_abstract string, title string"
+    wide = "original_abstract string, model_generated_abstract string, title string"
     rows = {"by_polishing": [("نص بشري اول", "نص مولد اول", "t"), ("نص بشري ثان", None, "t")],
             "from_title": [("نص بشري اول", "نص مولد ثالث", "t"), ("123", "نص مولد اول", "t")]}
     for name, values in rows.items():
