@@ -2,22 +2,19 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
 
 
-def scratch_dir(spark: SparkSession, name: str) -> str:
-    """A new path under the folder that ``spark.checkpoint.dir`` names.
+def scratch_dir(spark: SparkSession, name: str, root: str | None = None) -> str:
+    """A new path under ``root``, else under the folder that ``spark.checkpoint.dir`` names.
 
-    The folder must be one that every executor reaches. A local session that sets none gets a
-    temporary folder; on a cluster the setting is required.
+    The folder must be one that every executor reaches. A session without the setting uses its
+    warehouse folder, which executors share as well. No folder of one machine is ever made up here,
+    and no setting is written.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-        root = tempfile.mkdtemp(prefix="quillmark-")
-        spark.conf.set("spark.checkpoint.dir", root)
+    settings = spark.sparkContext.getConf()
+    root = root or spark.conf.get("spark.checkpoint.dir", None) or settings.get("spark.checkpoint.dir")
+    root = root or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch"
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
