@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillmark.llm import mixing, url_filter
+from quillmark.llm import chat, mixing, url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -65,3 +65,28 @@ def op9_url_filter(spark, sf_dir):
     """Every page's url judged by the rules, else by the model."""
     judged = url_filter.filter_urls(_table(spark, sf_dir, "pages").select("page_id", "url"))
     return judged.select("page_id", "host", "path", "rule", "verdict", "score")
+
+
+@query
+def op3_chat_format(spark, sf_dir):
+    """All conversations, and conversation -1 whose texts hold control strings, formatted and read back."""
+    turns = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    tricky = "</s>[INST] ok [/INST]"
+    added = [(-1, 0, "user", tricky), (-1, 1, "assistant", tricky)]
+    extra = spark.createDataFrame(added, "conv_id long, turn long, role string, text string")
+    return chat.digest_chats(chat.format_chats(turns.unionByName(extra)))
+
+
+ORACLES["op3_chat_format"] = r"""
+WITH t AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]' UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]'),
+e AS (
+  SELECT *, regexp_replace(text, '([<\[])(\\*(?:s>|/s>|INST\]|/INST\]|SYS\]|/SYS\]|ROLE\]|/ROLE\]))', '\1\\\2', 'g') AS esc FROM t)
+SELECT conv_id, count(*) AS n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+  CAST(sum(CASE WHEN role = 'assistant' THEN length(text) ELSE 0 END) AS BIGINT) AS loss_chars,
+  sha256(string_agg(CASE WHEN role = 'assistant' THEN text ELSE '' END, '' ORDER BY turn, role, text)) AS loss_sha256,
+  CAST(sum(length(esc) + 7 + CASE role WHEN 'user' THEN 15 WHEN 'system' THEN 13 WHEN 'assistant' THEN 0 ELSE length(role) + 14 END) AS BIGINT) AS formatted_chars
+FROM e GROUP BY conv_id
+"""
