@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillmark.llm import chat, mixing, url_filter
+from quillmark.llm import chat, mixing, quality_rules, url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -90,3 +90,11 @@ SELECT conv_id, count(*) AS n_turns,
   CAST(sum(length(esc) + 7 + CASE role WHEN 'user' THEN 15 WHEN 'system' THEN 13 WHEN 'assistant' THEN 0 ELSE length(role) + 14 END) AS BIGINT) AS formatted_chars
 FROM e GROUP BY conv_id
 """
+
+
+@query
+def op1_quality_rules(spark, sf_dir):
+    """Every document: measures of the word rules, mean log ratio of trusted to raw n-grams, verdict."""
+    docs, labels = _table(spark, sf_dir, "documents").select("doc_id", "text"), _table(spark, sf_dir, "labels")
+    judged = quality_rules.quality_rules(docs, labels)
+    return judged.select("doc_id", *quality_rules.MEASURES, "score", "kept")
