@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillmark.llm import chat, mixing, quality_rules, url_filter
+from quillmark.llm import chat, mixing, quality_rules, rule_ensemble, url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -98,3 +98,10 @@ def op1_quality_rules(spark, sf_dir):
     docs, labels = _table(spark, sf_dir, "documents").select("doc_id", "text"), _table(spark, sf_dir, "labels")
     judged = quality_rules.quality_rules(docs, labels)
     return judged.select("doc_id", *quality_rules.MEASURES, "score", "kept")
+
+
+@query
+def op10_rule_ensemble(spark, sf_dir):
+    """Every document's quality, from rules learnt on four of five folds of the labels."""
+    docs, labels = _table(spark, sf_dir, "documents").select("doc_id", "text"), _table(spark, sf_dir, "labels")
+    return rule_ensemble.classify(docs, labels).select("doc_id", "held_out", "score", "predicted")
