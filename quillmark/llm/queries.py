@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillmark.llm import chat, mixing, quality_rules, rule_ensemble, url_filter
+from quillmark.llm import chat, licenses, mixing, quality_rules, rule_ensemble, url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -105,3 +105,57 @@ def op10_rule_ensemble(spark, sf_dir):
     """Every document's quality, from rules learnt on four of five folds of the labels."""
     docs, labels = _table(spark, sf_dir, "documents").select("doc_id", "text"), _table(spark, sf_dir, "labels")
     return rule_ensemble.classify(docs, labels).select("doc_id", "held_out", "score", "predicted")
+
+
+@query
+def op2_license_scan(spark, sf_dir):
+    """Every document scanned for license phrases and notices."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return licenses.license_digest(licenses.scan_licenses(docs))
+
+
+def _license_sql() -> str:
+    values = ", ".join(
+        f"({n}, '{t.label}', {str(t.phrase).lower()}, '{' '.join(licenses.template_words(t))}')"
+        for n, t in enumerate(licenses.TEMPLATES)
+    )
+    return rf"""
+WITH d AS (
+  SELECT doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+tt AS (SELECT *, string_split(words, ' ') AS tw FROM (VALUES {values}) AS x(template, label, phrase, words)),
+tg AS (
+  SELECT template, label, phrase, len(tw) - 2 AS grams, t, tw[t + 1] || ' ' || tw[t + 2] || ' ' || tw[t + 3] AS gram
+  FROM (SELECT *, unnest(range(len(tw) - 2)) AS t FROM tt)),
+dg AS (
+  SELECT doc_id, p, w[p + 1] || ' ' || w[p + 2] || ' ' || w[p + 3] AS gram
+  FROM (SELECT *, unnest(range(greatest(len(w) - 2, 0))) AS p FROM d)),
+hit AS (SELECT doc_id, template, label, phrase, grams, p, t, p - t AS diagonal FROM dg JOIN tg USING (gram)),
+dia AS (SELECT DISTINCT doc_id, template, phrase, diagonal FROM hit),
+gap AS (
+  SELECT *, diagonal - lag(diagonal) OVER (PARTITION BY doc_id, template ORDER BY diagonal) AS step FROM dia),
+isl AS (
+  SELECT *, sum(CASE WHEN step IS NULL OR step > (CASE WHEN phrase THEN 0 ELSE 4 END) THEN 1 ELSE 0 END)
+    OVER (PARTITION BY doc_id, template ORDER BY diagonal) AS island FROM gap),
+span AS (
+  SELECT hit.doc_id, hit.template, label, hit.phrase, island, min(p) AS first, max(p) + 2 AS last,
+    count(DISTINCT t) / any_value(grams) AS share, any_value(grams) AS grams
+  FROM hit JOIN isl ON hit.doc_id = isl.doc_id AND hit.template = isl.template AND hit.diagonal = isl.diagonal
+  GROUP BY hit.doc_id, hit.template, label, hit.phrase, island),
+ok AS (
+  SELECT *, CASE WHEN phrase THEN share = 1 ELSE share >= 0.8 AND last - first + 1 <= 1.5 * (grams + 2) END AS good FROM span),
+agg AS (
+  SELECT doc_id, count(*) FILTER (good AND phrase) AS n_base, min(first) FILTER (good AND phrase) AS first_word,
+    max(first) FILTER (good AND phrase) AS last_word,
+    string_agg(DISTINCT label, ',' ORDER BY label) FILTER (good AND phrase) AS base_labels,
+    string_agg(DISTINCT label, ',' ORDER BY label) FILTER (good) AS labels, max(share) AS score
+  FROM ok GROUP BY doc_id)
+SELECT d.doc_id, len(w)::BIGINT AS n_words, coalesce(n_base, 0)::BIGINT AS n_base, first_word::BIGINT AS first_word,
+  last_word::BIGINT AS last_word, coalesce(base_labels, '') AS base_labels, coalesce(labels, '') AS labels,
+  coalesce(score, 0)::DOUBLE AS score
+FROM d LEFT JOIN agg USING (doc_id)
+"""
+
+
+ORACLES["op2_license_scan"] = _license_sql()
