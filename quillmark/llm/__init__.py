@@ -1 +1,10 @@
-"""Operators for preparing training data of language models."""
+"""Operators for preparing training data of language models.
+
+Functions that run inside Python workers are sent by value, so executors need no copy of the package.
+"""
+
+import sys
+
+from pyspark import cloudpickle
+
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillmark.llm import chat, licenses, mixing, quality_rules, rule_ensemble, url_filter
+from quillmark.llm import chat, licenses, mixing, quality_rules, rule_ensemble, simhash, url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -159,3 +159,10 @@ FROM d LEFT JOIN agg USING (doc_id)
 
 
 ORACLES["op2_license_scan"] = _license_sql()
+
+
+@query
+def op6_simhash(spark, sf_dir):
+    """Every document's fingerprint and near-duplicate component."""
+    found = simhash.near_duplicates(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select("doc_id", simhash.hex_digits(F.col("fp")).alias("fingerprint"), "component_id")
