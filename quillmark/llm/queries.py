@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillmark.llm import chat, licenses, mixing, quality_rules, rule_ensemble, simhash, url_filter
+from quillmark.llm import ann, chat, licenses, mixing, quality_rules, rule_ensemble, simhash, url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -166,3 +166,10 @@ def op6_simhash(spark, sf_dir):
     """Every document's fingerprint and near-duplicate component."""
     found = simhash.near_duplicates(_table(spark, sf_dir, "documents").select("doc_id", "text"))
     return found.select("doc_id", simhash.hex_digits(F.col("fp")).alias("fingerprint"), "component_id")
+
+
+@query
+def op8_ann(spark, sf_dir):
+    """The ten nearest vectors of every vector whose id is divisible by 100, from balanced posting lists."""
+    vectors = _table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return ann.nearest_neighbours(vectors, F.col("vec_id") % 100 == 0)
