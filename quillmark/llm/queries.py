@@ -7,8 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillmark.llm import ann, chat, licenses, mixing, quality_rules, rule_ensemble, simhash, url_filter
+from quillmark.llm import ann, chat, licenses, mixing, quality_rules, rule_ensemble, sentencepiece, simhash, url_filter
 
+PIECES = "/opt/tokenizers/piece_bpe_32k.model"  # a public vocabulary
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
@@ -173,3 +174,13 @@ def op8_ann(spark, sf_dir):
     """The ten nearest vectors of every vector whose id is divisible by 100, from balanced posting lists."""
     vectors = _table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
     return ann.nearest_neighbours(vectors, F.col("vec_id") % 100 == 0)
+
+
+@query
+def op4_sentencepiece(spark, sf_dir):
+    """Every document encoded, and decoded again: ids, and whether the text came back exactly."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    pieces = sentencepiece.SentencePiece(spark, PIECES)
+    encoded = docs.withColumn("ids", pieces.encode("text")).withColumn("back", pieces.decode("ids"))
+    n_tokens = F.coalesce(F.size("ids"), F.lit(0)).cast("long").alias("n_tokens")
+    return encoded.select("doc_id", n_tokens, "ids", F.col("back").eqNullSafe(F.col("text")).alias("round_trip"))
