@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillmark.llm import ann, chat, licenses, mixing, quality_rules, rule_ensemble, sentencepiece, simhash, url_filter
+from quillmark.llm import ann, chat, katz, licenses, mixing, quality_rules, rule_ensemble, sentencepiece, simhash, url_filter
 
-PIECES = "/opt/tokenizers/piece_bpe_32k.model"  # a public vocabulary
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
@@ -180,7 +180,16 @@ def op8_ann(spark, sf_dir):
 def op4_sentencepiece(spark, sf_dir):
     """Every document encoded, and decoded again: ids, and whether the text came back exactly."""
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
-    pieces = sentencepiece.SentencePiece(spark, PIECES)
+    pieces = sentencepiece.SentencePiece(spark, corpus_pipeline.PIECES)
     encoded = docs.withColumn("ids", pieces.encode("text")).withColumn("back", pieces.decode("ids"))
     n_tokens = F.coalesce(F.size("ids"), F.lit(0)).cast("long").alias("n_tokens")
     return encoded.select("doc_id", n_tokens, "ids", F.col("back").eqNullSafe(F.col("text")).alias("round_trip"))
+
+
+@query
+def op7_katz(spark, sf_dir):
+    """Every document's log10 probability under a Katz backoff model of nine in ten documents."""
+    return katz.score_documents(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+QUERIES["pipeline"] = corpus_pipeline.run

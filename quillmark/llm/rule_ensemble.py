@@ -161,15 +161,18 @@ def classify(
     folds: int = 5,
     bound: int = 20_000,
     threshold: float = 0.3,
+    examples: DataFrame | None = None,
 ) -> DataFrame:
     """``docs`` with ``held_out``, ``score`` (0 to 1, higher: label 1 likelier) and ``predicted``.
 
     Fitted on at most ``bound`` labelled documents whose crc32 remainder modulo ``folds`` is not 0; the
-    others are held out. Only the text enters a score; null and empty texts are scored by the statistics
+    others are held out. ``examples`` are the documents to learn from, where ``docs`` are already filtered
+    and most bad ones are gone. Only the text enters a score; null and empty texts are scored by the statistics
     of an empty text. A null id is held out. Equal texts get equal scores. Columns named like a result
     are replaced; an empty table gives an empty result, and without labels all scores are 0.5.
     """
-    rows = stored(training_rows(docs, labels, doc_id, text, label, folds, bound), "rule-training")
+    learnt_from = docs if examples is None else examples
+    rows = stored(training_rows(learnt_from, labels, doc_id, text, label, folds, bound), "rule-training")
     ensemble = fit_rules(rows)
     kept = docs.drop("held_out", "score", "predicted")
     scored = with_statistics(kept, text).withColumn("score", ensemble.score()).drop("_stats")
