@@ -60,14 +60,18 @@ def matching_rule(host: Column, path: Column, rules=RULES) -> tuple[Column, Colu
     return rule, verdict
 
 
+def _marked(mark: str, n: int):
+    return lambda gram: F.concat(F.lit(mark), *(gram[f"c{i}"] for i in range(n)))
+
+
 def _grams(text: Column, mark: str, sizes: tuple[int, ...]) -> Column:
-    """Character n-grams of ``^text$``, marked; linear in the length, as characters are cut out once."""
+    """Character n-grams of ``^text$``, marked. Shifted copies of the characters are zipped: linear in the length."""
     chars = F.split(F.concat(F.lit("^"), text, F.lit("$")), "")
     found = []
     for n in sizes:
-        starts = F.when(F.size(chars) >= n, F.sequence(F.lit(1), F.size(chars) - (n - 1)))
-        starts = F.coalesce(starts, F.array().cast("array<int>"))
-        found.append(F.transform(starts, lambda i, n=n: F.concat(F.lit(mark), F.array_join(F.slice(chars, i, n), ""))))
+        rest = [F.slice(chars, i + 1, F.greatest(F.size(chars) - i, F.lit(0))).alias(f"c{i}") for i in range(n)]
+        whole = F.slice(F.arrays_zip(*rest), 1, F.greatest(F.size(chars) - (n - 1), F.lit(0)))
+        found.append(F.transform(whole, _marked(mark, n)))
     return F.concat(*found)
 
 
