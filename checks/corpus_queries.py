@@ -142,21 +142,33 @@ _MELTED = f"""{q.WIDE}, melted AS (FROM wide
     UNPIVOT INCLUDE NULLS (text FOR category IN (user_text, assistant_text, system_text)))"""
 
 
-@query("melt_wide_long", f"WITH {_MELTED} SELECT conv_id, category, text FROM melted")
+def _melted(spark, sf_dir):
+    return reshape.melt_texts(t.wide(spark, sf_dir), "_text", ["conv_id", "turn"])
+
+
+@query("melt_wide_long", f"WITH {_MELTED} SELECT conv_id, turn, category, md5(text) AS digest FROM melted")
 def melt_wide_long(spark, sf_dir):
-    return reshape.melt_texts(t.wide(spark, sf_dir), "_text", ["conv_id"])
+    return _melted(spark, sf_dir).select("conv_id", "turn", "category", F.md5("text").alias("digest"))
 
 
-@query("encode_label", f"WITH {_MELTED} SELECT conv_id, category, (category = 'user_text')::INT AS category_encode FROM melted")
+@query(
+    "encode_label",
+    f"""WITH {_MELTED} SELECT conv_id, turn, category, md5(text) AS digest, (category = 'user_text')::INT AS category_encode
+        FROM melted""",
+)
 def encode_label(spark, sf_dir):
-    melted = reshape.melt_texts(t.wide(spark, sf_dir), "_text", ["conv_id"])
-    return reshape.encode_label(melted, "user_text").select("conv_id", "category", "category_encode")
+    encoded = reshape.encode_label(_melted(spark, sf_dir), "user_text")
+    return encoded.select("conv_id", "turn", "category", F.md5("text").alias("digest"), "category_encode")
 
 
-@query("drop_missing", f"WITH {_MELTED} SELECT conv_id, category FROM melted WHERE text IS NOT NULL AND category IS NOT NULL")
+@query(
+    "drop_missing",
+    f"""WITH {_MELTED} SELECT conv_id, turn, category, md5(text) AS digest FROM melted
+        WHERE text IS NOT NULL AND category IS NOT NULL""",
+)
 def drop_missing(spark, sf_dir):
-    melted = reshape.melt_texts(t.wide(spark, sf_dir), "_text", ["conv_id"])
-    return reshape.drop_missing(melted, ["text", "category"]).select("conv_id", "category")
+    known = reshape.drop_missing(_melted(spark, sf_dir), ["text", "category"])
+    return known.select("conv_id", "turn", "category", F.md5("text").alias("digest"))
 
 
 @query(
@@ -221,13 +233,19 @@ def text_preview(spark, sf_dir):
     return t.documents(spark, sf_dir).select("doc_id", reshape.text_preview("text").alias("text_preview"))
 
 
+_COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
+
+
 @query(
     "schema_table",
-    """SELECT * FROM (VALUES (0, 'doc_id', 'bigint'), (1, 'text', 'string'), (2, 'lang', 'string'), (3, 'source', 'string'),
-       (4, 'n_chars', 'bigint')) AS s(position, column_name, data_type)""",
+    " UNION ALL ".join(
+        f"""SELECT {i} AS position, '{c}' AS column_name, CASE typeof(any_value({c})) WHEN 'VARCHAR' THEN 'string' ELSE
+            lower(typeof(any_value({c}))) END AS data_type, count({c}) AS n_known, count(DISTINCT {c}) AS n_distinct FROM documents"""
+        for i, c in enumerate(_COLUMNS)
+    ),
 )
 def schema_table(spark, sf_dir):
-    return reshape.schema_table(t.table(spark, sf_dir, "documents"))
+    return reshape.column_table(t.table(spark, sf_dir, "documents").select(*_COLUMNS))
 
 
 @query("preview", "SELECT doc_id, lang, text FROM documents ORDER BY doc_id LIMIT 3")

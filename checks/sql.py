@@ -260,11 +260,9 @@ PROCESSED = f"""{ARABIC_DOCS}, {clean_ctes('docs')},
 LATIN_STYLE = f"{LATIN_DOCS}, {clean_ctes('docs')}, {style_ctes(LATIN)}"
 
 WIDE = """
-    wide AS (SELECT conv_id,
-        arg_min(text, turn) FILTER (WHERE role = 'user') AS user_text,
-        arg_min(text, turn) FILTER (WHERE role = 'assistant') AS assistant_text,
-        arg_min(text, turn) FILTER (WHERE role = 'system') AS system_text
-      FROM conversations GROUP BY conv_id)"""
+    wide AS (SELECT conv_id, turn, CASE WHEN role = 'user' THEN text END AS user_text,
+        CASE WHEN role = 'assistant' THEN text END AS assistant_text, CASE WHEN role = 'system' THEN text END AS system_text
+      FROM conversations)"""
 
 SCORED = """
     scored AS (SELECT doc_id, quality AS category_encode,

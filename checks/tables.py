@@ -9,7 +9,6 @@ from checks.sql import ARABIC_STAND_INS, LATIN_LETTERS
 from quillmark.operators.labels import attach_labels
 from quillmark.plans.preparation import add_clean_texts, add_style
 from quillmark.profiles import ARABIC, LATIN
-from quillmark.sources.files import spread
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -17,7 +16,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def documents(spark, sf_dir) -> DataFrame:
-    return spread(table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source"), "doc_id")
+    return table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
 
 
 def latin_docs(spark, sf_dir) -> DataFrame:
@@ -43,10 +42,10 @@ def styled(spark, sf_dir) -> DataFrame:
 
 
 def wide(spark, sf_dir) -> DataFrame:
-    """One row per conversation with the first text of each role."""
-    first = lambda role: F.min_by(F.when(F.col("role") == role, F.col("text")), F.when(F.col("role") == role, F.col("turn")))
+    """One row per turn of a conversation with its text in the column of its role: every text takes part."""
     roles = ("user", "assistant", "system")
-    return table(spark, sf_dir, "conversations").groupBy("conv_id").agg(*(first(r).alias(f"{r}_text") for r in roles))
+    texts = (F.when(F.col("role") == r, F.col("text")).alias(f"{r}_text") for r in roles)
+    return table(spark, sf_dir, "conversations").select("conv_id", "turn", *texts)
 
 
 def _hash_share(key, digits: int):

@@ -15,7 +15,7 @@ def subset_rank(column: str, subsets: list[str]) -> Column:
 
 
 def dedup_exact(df: DataFrame, key: str = "text", order: list | None = None) -> DataFrame:
-    """One row per distinct ``key``: the first by ``order``.
+    """One row per distinct ``key``: the first by ``order``, ties by the other columns in turn.
 
     A partial aggregate keeps one row per key before the shuffle, so a text that makes up a third
     of all rows still sends one row per task; a ranking window would bring all copies together.
@@ -23,7 +23,7 @@ def dedup_exact(df: DataFrame, key: str = "text", order: list | None = None) ->
     exact.
     """
     others = [c for c in df.columns if c != key]
-    first = F.min_by(F.struct(*others), F.struct(*(order or others)))
+    first = F.min_by(F.struct(*others), F.struct(*(order or []), *others))
     return (
         df.groupBy(F.xxhash64(key).alias("_hash"), key)
         .agg(first.alias("_first"))

@@ -86,6 +86,24 @@ def schema_table(df: DataFrame) -> DataFrame:
     return df.sparkSession.createDataFrame(rows, "position int, column_name string, data_type string")
 
 
+def column_table(df: DataFrame) -> DataFrame:
+    """:func:`schema_table` with the known and the distinct values of each column, counted in one scan.
+
+    Values are reduced to 64-bit hashes within each task, so no text is shuffled; the hashes of a column
+    are counted apart from those of the others.
+    """
+    rows = df.select(
+        F.explode(
+            F.array(*(F.struct(F.lit(i).alias("position"), F.when(F.col(c).isNotNull(), F.xxhash64(c)).alias("h")) for i, c in enumerate(df.columns)))
+        ).alias("cell")
+    ).select("cell.*")
+    distinct = rows.groupBy("position", "h").agg(F.count("h").alias("n"))
+    counts = distinct.groupBy("position").agg(F.sum("n").alias("n_known"), F.count("h").alias("n_distinct"))
+    none = F.coalesce(F.col("n_known"), F.lit(0).cast("long")), F.coalesce(F.col("n_distinct"), F.lit(0).cast("long"))
+    joined = schema_table(df).join(counts, "position", "left")
+    return joined.withColumns({"n_known": none[0], "n_distinct": none[1]})
+
+
 def preview(df: DataFrame, cols: list[str], order: str, n: int = 3) -> DataFrame:
     """First ``n`` rows by ``order``; the order makes it repeatable."""
     return df.orderBy(order).limit(n).select(*cols)
