@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from functools import cache
 
+from pyspark.ml import PipelineModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -14,6 +15,7 @@ from checks.registry import query
 from quillmark.functions import tokenize_lower
 from quillmark.functions.stylometry import STYLO_COLUMNS
 from quillmark.operators import evaluation, features, models, reshape, splits, tfidf
+from quillmark.plans import training
 from quillmark.plans.training import build_features
 from quillmark.profiles import LATIN
 from quillmark.sources import artifacts, streams
@@ -39,6 +41,18 @@ def split_sizes(spark, sf_dir):
     return splits.split_sizes(stratified_split(spark, sf_dir))
 
 
+@query(
+    "exact_split",
+    f"""WITH {_SPLIT}, r AS (SELECT doc_id, category_encode, row_number() OVER (PARTITION BY category_encode ORDER BY h, doc_id) - 1 AS place,
+            count(*) OVER (PARTITION BY category_encode) AS size FROM h WHERE category_encode IN (0, 1))
+        SELECT doc_id, category_encode, CASE WHEN place < round(size * 0.7) THEN 'train' WHEN place < round(size * 0.85) THEN 'val'
+            ELSE 'test' END AS split FROM r""",
+)
+def exact_split(spark, sf_dir):
+    docs = t.latin_docs(spark, sf_dir).select("doc_id", "category_encode")
+    return splits.exact_split(docs, "doc_id")
+
+
 # ---- TF-IDF ---------------------------------------------------------------------------------
 
 _TOKENS = f"t AS (SELECT doc_id, {q.tokens('lower(text)')} AS ts FROM documents), w AS (SELECT doc_id, unnest(ts) AS term FROM t)"
@@ -69,35 +83,72 @@ def tfidf_terms(spark, sf_dir):
 _total = lambda vector: F.aggregate(vector_to_array(vector), F.lit(0.0), lambda a, b: a + b)
 
 
-@query("hashing_tf", f"WITH {_TOKENS} SELECT doc_id, len(ts)::DOUBLE AS total_tf, 10000 AS dims FROM t")
-def hashing_tf(spark, sf_dir):
-    vectors = features.term_frequency().transform(_tokens(spark, sf_dir))
-    return vectors.select("doc_id", _total("raw_tf").alias("total_tf"), F.size(vector_to_array("raw_tf")).alias("dims"))
+def _buckets(terms: DataFrame) -> DataFrame:
+    """``(term, bucket)``: where the hashed vectors put each distinct term, found one term at a time."""
+    one = terms.select("term").distinct().withColumn("tokens", F.array("term"))
+    vectors = features.term_frequency().transform(one)
+    return vectors.select("term", (F.array_position(vector_to_array("raw_tf"), 1.0) - 1).cast("int").alias("bucket"))
 
 
-@query("tfidf_vectors")
-def tfidf_vectors(spark, sf_dir):
-    made = _features(spark, sf_dir)
-    rows = spark.read.parquet(made.path)
-    return rows.select("doc_id", "split", _total("tfidf_features").alias("total_weight"))
+def _entries(vectors: DataFrame, column: str) -> DataFrame:
+    """``(doc_id, bucket, value)`` of the entries other than 0."""
+    each = vectors.select("doc_id", F.posexplode(vector_to_array(column)).alias("bucket", "value"))
+    return each.filter("value <> 0")
+
 
+def _same_entries(docs: DataFrame, got: DataFrame, wanted: DataFrame) -> DataFrame:
+    """``docs`` with ``same``: all entries of a document's vector are as wanted within 1e-9."""
+    both = got.withColumnRenamed("value", "a").join(wanted.withColumnRenamed("value", "b"), ["doc_id", "bucket"], "full")
+    off = F.abs(F.coalesce("a", F.lit(0.0)) - F.coalesce("b", F.lit(0.0))) > 1e-9
+    wrong = both.groupBy("doc_id").agg(F.count_if(off).alias("wrong"))
+    return docs.join(wrong, "doc_id", "left").withColumn("same", F.coalesce("wrong", F.lit(0)) == 0).drop("wrong")
 
-_STYLE_SUM = " + ".join(f"CAST({c} AS DOUBLE)" for c in STYLO_COLUMNS)
+
+def _explicit_tf(tokens: DataFrame) -> DataFrame:
+    """Counts of explicit terms, folded into their buckets."""
+    counts = tfidf.term_frequencies(tokens, "doc_id")
+    return counts.join(_buckets(counts), "term").groupBy("doc_id", "bucket").agg(F.sum("tf").cast("double").alias("value"))
+
+
+@query("hashing_tf", f"WITH {_TOKENS} SELECT doc_id, len(ts)::DOUBLE AS total_tf, 10000 AS dims, TRUE AS same FROM t")
+def hashing_tf(spark, sf_dir):
+    """Hashed counts, each entry compared with explicit counts."""
+    tokens = _tokens(spark, sf_dir)
+    vectors = features.term_frequency().transform(tokens)
+    docs = vectors.select("doc_id", _total("raw_tf").alias("total_tf"), F.size(vector_to_array("raw_tf")).alias("dims"))
+    return _same_entries(docs, _entries(vectors, "raw_tf"), _explicit_tf(tokens))
+
+
+@query("tfidf_vectors", f"WITH {_SPLIT} SELECT doc_id, split, TRUE AS same FROM split")
+def tfidf_vectors(spark, sf_dir):
+    """Hashed TF-IDF weights, each entry compared with explicit counts times ln((m + 1) / (df + 1)) of the training rows."""
+    rows = spark.read.parquet(_features(spark, sf_dir).path)
+    texts = rows.select("doc_id", "split", F.array_remove(F.split(F.lower("processed_text"), r"\s+"), "").alias("tokens"))
+    tf = _explicit_tf(texts)
+    training = texts.filter("split = 'train'").select("doc_id")
+    m = training.agg(F.count(F.lit(1))).scalar()
+    df = tf.join(training, "doc_id").groupBy("bucket").agg(F.count(F.lit(1)).alias("df"))
+    idf = F.when(F.col("df") >= features.MIN_DOC_FREQ, F.log((m + 1) / (F.col("df") + 1))).otherwise(0.0)
+    wanted = tf.join(df, "bucket").select("doc_id", "bucket", (F.col("value") * idf).alias("value"))
+    return _same_entries(rows.select("doc_id", "split"), _entries(rows, "tfidf_features"), wanted)
 
 
 @query(
     "feature_vectors",
-    f"""WITH {q.LATIN_STYLE} SELECT doc_id, category_encode, 8 AS stylo_dims, 10008 AS dims, round({_STYLE_SUM}, 6) AS total
-        FROM styled WHERE category_encode IN (0, 1)""",
+    f"""WITH {q.LATIN_STYLE} SELECT doc_id, category_encode, 8 AS stylo_dims, 10008 AS dims, TRUE AS same,
+        {", ".join(f"round(CAST({c} AS DOUBLE), 6) AS {c}" for c in STYLO_COLUMNS)} FROM styled WHERE category_encode IN (0, 1)""",
 )
 def feature_vectors(spark, sf_dir):
+    """Every style entry by name, and whether the full vector is style and TF-IDF in this order."""
     rows = spark.read.parquet(_features(spark, sf_dir).path)
+    style, full = vector_to_array("features_stylo"), vector_to_array("features")
     return rows.select(
         "doc_id",
         "category_encode",
-        F.size(vector_to_array("features_stylo")).alias("stylo_dims"),
-        F.size(vector_to_array("features")).alias("dims"),
-        F.round(_total("features_stylo"), 6).alias("total"),
+        F.size(style).alias("stylo_dims"),
+        F.size(full).alias("dims"),
+        (full == F.concat(style, vector_to_array("tfidf_features"))).alias("same"),
+        *(F.round(style[i], 6).alias(c) for i, c in enumerate(STYLO_COLUMNS)),
     )
 
 
@@ -117,20 +168,71 @@ def _classifier(spark, sf_dir, name, column=models.FEATURES):
     return model
 
 
-def _score(name, classifier, column=models.FEATURES):
-    @query(name)
+def _held_out(spark, sf_dir) -> DataFrame:
+    tables = _features(spark, sf_dir)
+    return reshape.union_subsets([tables.split(s).withColumn("split", F.lit(s)) for s in ("val", "test")])
+
+
+_HELD_OUT = f"WITH {_SPLIT} SELECT doc_id, split, category_encode, TRUE AS {{flag}} FROM split WHERE split <> 'train'"
+
+
+def _score_linear(name, column):
+    @query(name, _HELD_OUT.format(flag="is_logistic"))
     def run(spark, sf_dir):
-        model = _classifier(spark, sf_dir, classifier, column)
-        tables = _features(spark, sf_dir)
-        held_out = [tables.split(s).withColumn("split", F.lit(s)) for s in ("val", "test")]
-        scored = models.score(model, reshape.union_subsets(held_out))
-        return scored.select("doc_id", "split", "category_encode", "prediction", "score")
+        """Each score against the logistic function of the fitted coefficients, summed entry by entry."""
+        model, rows = _classifier(spark, sf_dir, "LogisticRegression", column), _held_out(spark, sf_dir)
+        weights = [(i, w) for i, w in enumerate(model.coefficients.toArray().tolist())]
+        table = spark.createDataFrame(weights, "bucket int, weight double")
+        margin = _entries(rows, column).join(table, "bucket").groupBy("doc_id").agg(F.sum(F.col("value") * F.col("weight")).alias("m"))
+        scored = models.score(model, rows).select("doc_id", "split", "category_encode", "score").join(margin, "doc_id", "left")
+        logistic = 1 / (1 + F.exp(-(F.coalesce("m", F.lit(0.0)) + F.lit(float(model.intercept)))))
+        return scored.select("doc_id", "split", "category_encode", (F.abs(F.col("score") - logistic) < 1e-9).alias("is_logistic"))
+
+
+def _score_trees(name, classifier):
+    @query(name, _HELD_OUT.format(flag="is_same_and_larger"))
+    def run(spark, sf_dir):
+        """Each prediction is the class of the larger probability, and the reloaded model gives the same."""
+        model, rows = _classifier(spark, sf_dir, classifier), _held_out(spark, sf_dir)
+        path = scratch_dir(spark, name)
+        artifacts.save_model(PipelineModel(stages=[model]), path)
+        first = models.score(model, rows).select("doc_id", "split", "category_encode", "prediction", "score")
+        again = models.score(artifacts.load_model(path), rows).select("doc_id", F.col("prediction").alias("p2"), F.col("score").alias("s2"))
+        larger = F.col("prediction") == F.when(F.col("score") > 0.5, 1.0).otherwise(0.0)
+        same = (F.col("prediction") == F.col("p2")) & (F.abs(F.col("score") - F.col("s2")) < 1e-12)
+        return first.join(again, "doc_id").select("doc_id", "split", "category_encode", (larger & same).alias("is_same_and_larger"))
+
 
+_score_linear("score_lr", models.FEATURES)
+_score_trees("score_rf", "RandomForest")
+_score_trees("score_gbt", "GBTClassifier")
+_score_linear("score_stylo", models.STYLO_FEATURES)
 
-_score("score_lr", "LogisticRegression")
-_score("score_rf", "RandomForest")
-_score("score_gbt", "GBTClassifier")
-_score("score_stylo", "LogisticRegression", models.STYLO_FEATURES)
+
+@query(
+    "training_report",
+    f"""WITH {_SPLIT}, m AS (SELECT * FROM (VALUES ('GBTClassifier'), ('LogisticRegression'), ('RandomForest')) AS x(model))
+        SELECT model, split, count(*) AS n, count(*) FILTER (WHERE category_encode = 1) AS n_human, TRUE AS accuracy_fits,
+            TRUE AS timed, TRUE AS saved FROM split, m WHERE split <> 'train' GROUP BY 1, 2""",
+)
+def training_report(spark, sf_dir):
+    """All models trained, evaluated and saved: stored confusion matrices against split sizes and metrics."""
+    tables = _features(spark, sf_dir)
+    small = {"RandomForest": {"numTrees": 5, "maxDepth": 4}, "GBTClassifier": {"maxIter": 3, "maxDepth": 3}}
+    fitted, metrics = training.train_all(tables, params=small)
+    path = scratch_dir(spark, "models")
+    training.save_all(tables, fitted, metrics, path)
+    report = training.evaluation_report(tables)
+    of = lambda c: F.sum(F.when(c, F.col("n")).otherwise(0))
+    cells = report["confusion"].groupBy("model", "split").agg(
+        F.sum("n").alias("n"), of(F.col("label") == 1).alias("n_human"), of(F.col("label") == F.col("prediction")).alias("right")
+    )
+    accuracy = spark.read.json(f"{path}/report/metrics").filter("metric = 'accuracy'").select("model", "split", "value")
+    times = metrics.filter("metric = 'train_time_s'").select("model", (F.col("value") > 0).alias("timed"))
+    saved = [(name, isinstance(artifacts.load_model(f"{path}/{name}").stages[-1], type(model))) for name, model in fitted.items()]
+    joined = cells.join(accuracy, ["model", "split"]).join(times, "model").join(spark.createDataFrame(saved, "model string, saved boolean"), "model")
+    fits = F.abs(F.col("value") - F.col("right") / F.col("n")) < 1e-9
+    return joined.select("model", "split", "n", "n_human", fits.alias("accuracy_fits"), "timed", "saved")
 
 
 def _pipeline(spark, sf_dir):
@@ -273,12 +375,17 @@ def choose_model(spark, sf_dir):
 @query(
     "model_comparison",
     f"""WITH {_METRICS} SELECT model, round(max(value) FILTER (WHERE metric = 'accuracy'), 6) AS accuracy,
-        round(max(value) FILTER (WHERE metric = 'f1'), 6) AS f1, round(max(value) FILTER (WHERE metric = 'roc_auc'), 6) AS roc_auc
-        FROM metrics WHERE split = 'test' GROUP BY 1""",
+        round(max(value) FILTER (WHERE metric = 'f1'), 6) AS f1, round(max(value) FILTER (WHERE metric = 'roc_auc'), 6) AS roc_auc,
+        any_value(t.seconds) AS train_time_s
+        FROM metrics JOIN (SELECT model, round(sum(score), 6) AS seconds FROM runs WHERE split = 'val' GROUP BY 1) AS t USING (model)
+        WHERE split = 'test' GROUP BY 1""",
 )
 def model_comparison(spark, sf_dir):
-    table = evaluation.model_comparison(_metrics(spark, sf_dir))
-    return table.select("model", *(F.round(c, 6).alias(c) for c in ("accuracy", "f1", "roc_auc")))
+    """The times stand in for measured ones: a sum over the model's rows, which both engines can work out."""
+    seconds = t.runs(spark, sf_dir).filter("split = 'val'").groupBy("model").agg(F.round(F.sum("score"), 6).alias("value"))
+    times = seconds.select("model", F.lit("train").alias("split"), F.lit("train_time_s").alias("metric"), "value")
+    table = evaluation.model_comparison(_metrics(spark, sf_dir).unionByName(times))
+    return table.select("model", *(F.round(c, 6).alias(c) for c in ("accuracy", "f1", "roc_auc", "train_time_s")))
 
 
 # ---- streams --------------------------------------------------------------------------------
@@ -292,9 +399,10 @@ def _drop(messages: DataFrame, path: str, files: int = 4) -> None:
     messages.select("text", "true_label").repartition(files, "text").write.mode("append").json(path)
 
 
-def _run(spark, incoming: str, out: str, checkpoint: str, model, monitor=None):
+def _run(spark, incoming: str, out: str, checkpoint: str, model, monitor=None, progress=None):
     stream = streams.stream_json_files(spark, incoming, max_files=1)
-    return scoring.run_stream(scoring.stream_score(stream, model, LATIN), out, checkpoint, every=None, monitor=monitor)
+    scored = scoring.stream_score(stream, model, LATIN)
+    return scoring.run_stream(scored, out, checkpoint, every=None, monitor=monitor, progress=progress)
 
 
 @query(
@@ -310,12 +418,23 @@ def stream_features(spark, sf_dir):
     return spark.read.parquet(f"{root}/out").select("text", "true_label", "cleaned_text", "processed_text", *cols)
 
 
-@query("stream_file_score")
+@query(
+    "stream_file_score",
+    f"""WITH {_MESSAGES} SELECT substr(text, 1, 100) AS text_preview, true_label, count(*) AS n, TRUE AS same FROM styled GROUP BY 1, 2""",
+)
 def stream_file_score(spark, sf_dir):
-    root = scratch_dir(spark, "stream-score")
-    _drop(t.messages(spark, sf_dir), f"{root}/in")
-    _run(spark, f"{root}/in", f"{root}/out", f"{root}/checkpoint", _pipeline(spark, sf_dir))
-    return spark.read.parquet(f"{root}/out").drop("processed_at")
+    """Per message text: how often it came out, and whether all its scores are those of the batch."""
+    root, model, messages = scratch_dir(spark, "stream-score"), _pipeline(spark, sf_dir), t.messages(spark, sf_dir)
+    _drop(messages, f"{root}/in")
+    _run(spark, f"{root}/in", f"{root}/out", f"{root}/checkpoint", model)
+    keys = ("text_preview", "true_label")
+    scores = F.sort_array(F.collect_list(F.struct("predicted_label", "p_human", "short_words_ratio", "total_physical_lines")))
+    batch = reshape.prediction_view(model.transform(scoring.stream_features(messages, LATIN)))
+    wanted = batch.groupBy(*keys).agg(scores.alias("wanted"))
+    got = spark.read.parquet(f"{root}/out").groupBy(*keys).agg(scores.alias("got"))
+    joined = got.alias("g").join(wanted.alias("w"), F.col("g.text_preview").eqNullSafe(F.col("w.text_preview")) & F.col("g.true_label").eqNullSafe(F.col("w.true_label")), "left")
+    same = F.col("got").eqNullSafe(F.col("wanted")).alias("same")
+    return joined.select("g.text_preview", "g.true_label", F.size("got").cast("long").alias("n"), same)
 
 
 @query("stream_equals_batch", "SELECT count(*) AS n_rows, 0 AS n_different FROM conversations")
@@ -358,9 +477,11 @@ def stream_restart(spark, sf_dir):
     return _known(spark.read.parquet(f"{root}/out"))
 
 
-@query("stream_progress")
+@query("stream_progress", "SELECT 4 AS n_batches, count(*) AS n_rows, TRUE AS timed FROM conversations")
 def stream_progress(spark, sf_dir):
     root = scratch_dir(spark, "stream-progress")
     _drop(t.messages(spark, sf_dir), f"{root}/in")
-    run = _run(spark, f"{root}/in", f"{root}/out", f"{root}/checkpoint", _pipeline(spark, sf_dir))
-    return scoring.progress_summary(scoring.stream_progress(run))
+    _run(spark, f"{root}/in", f"{root}/out", f"{root}/checkpoint", _pipeline(spark, sf_dir), progress=f"{root}/progress")
+    summary = scoring.progress_summary(scoring.stream_progress(spark, f"{root}/progress"))
+    timed = (F.col("first_batch_ms") > 0) & (F.col("rows_per_second") > 0)
+    return summary.select("n_batches", "n_rows", timed.alias("timed"))

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from quillmark.operators.ranking import running_totals, value_slices
 from quillmark.operators.summaries import LABEL
 
 SPLITS = ("train", "val", "test")
@@ -38,6 +39,32 @@ def stratified_split(
     return df.filter(F.col(label).isin(0, 1)).withColumn("split", split)
 
 
+def exact_split(
+    df: DataFrame,
+    key: str,
+    label: str = LABEL,
+    fractions: tuple[float, ...] = FRACTIONS,
+    seed: int = 42,
+    names: tuple[str, ...] = SPLITS,
+) -> DataFrame:
+    """``(key, label, split)`` with exact proportions: of a class of n rows, split k ends at row ``round(f_k n)``.
+
+    Rows stand in the order of their key's hash, ties by key. Places are running totals over ranges of the
+    hash, so a class is never one task. Keys are distinct; a row without one is dropped, as are other
+    classes than 0 and 1. Even a class of three rows has them in the splits that rounding gives.
+    """
+    rows = df.filter(F.col(label).isin(0, 1) & F.col(key).isNotNull()).select(key, label, hash_fraction(key, seed).alias("value"))
+    sliced = value_slices(rows.withColumn("n", F.lit(1)))
+    placed = running_totals(sliced, [label], "slice", F.struct("value", key), {"place": "n"})
+    sizes = sliced.groupBy(F.col(label).alias("_label")).agg(F.sum("n").alias("size"))
+    joined = placed.join(sizes, F.col(label) == F.col("_label"))
+    split, limit = F.lit(names[-1]), sum(fractions[:-1])
+    for name, fraction in reversed(list(zip(names[:-1], fractions[:-1]))):
+        split = F.when(F.col("place") < F.round(F.col("size") * round(limit, 9)), name).otherwise(split)
+        limit -= fraction
+    return joined.select(key, label, split.alias("split"))
+
+
 def split_sizes(df: DataFrame, label: str = LABEL) -> DataFrame:
     """Rows per split and class."""
     return df.groupBy("split", label).agg(F.count(F.lit(1)).alias("n"))

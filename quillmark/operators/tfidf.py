@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quillmark.sources.scratch import scratch_dir, stored
+
 
 def _terms(df: DataFrame, tokens: str, *keep: str) -> DataFrame:
     """One row per array element.
@@ -29,19 +31,21 @@ def document_frequency(df: DataFrame, tokens: str = "tokens") -> DataFrame:
     return _terms(distinct, tokens).groupBy("term").agg(F.count(F.lit(1)).alias("df"))
 
 
-def tf_idf_table(df: DataFrame, doc: str, tokens: str = "tokens", min_doc_freq: int = 2) -> DataFrame:
+def tf_idf_table(
+    df: DataFrame, doc: str, tokens: str = "tokens", min_doc_freq: int = 2, path: str | None = None
+) -> DataFrame:
     """``(doc, term, tf, df, idf, weight)`` with idf = ln((documents + 1) / (df + 1)), 0 under ``min_doc_freq``.
 
-    Document frequencies are counted from the term frequencies, so the texts are tokenized once and
-    both sides read the same shuffle. The join is keyed by the term. Terms found in a large share of
-    the documents make skewed partitions, which Spark splits at run time; the other side has one
-    row per term.
+    Term and document frequencies are stored below ``path`` (by default a scratch folder), so the texts
+    are tokenized once. The join is keyed by the term. Both its sides are then plain exchanges, so Spark
+    splits the partition of a term that is found in a large share of the documents at run time; with an
+    aggregate on either side it would not.
     """
+    path = path or scratch_dir(df.sparkSession, "tfidf")
     documents = df.agg(F.count(F.lit(1))).scalar()
     idf = F.when(F.col("df") >= min_doc_freq, F.log((documents + 1) / (F.col("df") + 1))).otherwise(0.0)
-    tf = term_frequencies(df, doc, tokens)
-    # Reading `tf` keeps both sides on one plan: an unused count would be pruned from this side.
-    frequency = tf.groupBy("term").agg(F.count_if(F.col("tf") > 0).alias("df"))
+    tf = stored(term_frequencies(df, doc, tokens), f"{path}/tf")
+    frequency = stored(tf.groupBy("term").agg(F.count(F.lit(1)).alias("df")), f"{path}/df")
     return (
         tf.join(frequency, "term")
         .withColumn("idf", idf)

@@ -16,11 +16,7 @@ from quillmark.operators.reshape import schema_table
 from quillmark.operators.summaries import LABEL
 from quillmark.profiles import ARABIC, LanguageProfile
 from quillmark.sources.files import write_report
-
-
-def _stored(df: DataFrame, path: str, partition_by: tuple[str, ...] = ()) -> DataFrame:
-    df.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
-    return df.sparkSession.read.parquet(path)
+from quillmark.sources.scratch import stored
 
 
 def corpus_report(
@@ -33,13 +29,15 @@ def corpus_report(
 ) -> dict[str, DataFrame]:
     """Statistics, top and distinctive terms of a processed corpus with ``category_encode``.
 
-    Stores the counts below ``path``, by kind, so that a report on words skips the bigram files.
+    Stores processed texts and classes below ``path``, as both counts and class sizes come from them, and
+    the counts, by kind, so that a report on words skips the bigram files.
     """
+    df = stored(df.select("processed_text", LABEL), f"{path}/corpus")
     terms = corpus.explode_terms(df, profile=profile, adjacency=adjacency, keep=(LABEL,))
-    wide = _stored(corpus.term_counts_wide(terms), f"{path}/counts", ("kind",))
-    sizes = _stored(summaries.class_distribution(df), f"{path}/class_sizes")
+    wide = stored(corpus.term_counts_wide(terms), f"{path}/counts", ("kind",))
+    sizes = stored(summaries.class_distribution(df), f"{path}/class_sizes")
     long = corpus.counts_long(wide)
-    stats = _stored(corpus.lexical_stats(long), f"{path}/stats")
+    stats = stored(corpus.lexical_stats(long), f"{path}/stats")
     return {
         "counts": long,
         "class_sizes": sizes,
@@ -56,7 +54,7 @@ def corpus_report(
 def explore(df: DataFrame, path: str) -> dict[str, DataFrame]:
     """Schema, class and subset distribution and type-token ratios of a processed corpus."""
     measured = ttr_columns(df).select(LABEL, "subset", "unique_tokens", "token_count", "doc_ttr")
-    rows = _stored(measured, f"{path}/measures")
+    rows = stored(measured, f"{path}/measures")
     return {
         "schema": schema_table(df),
         "classes": summaries.class_share(rows),

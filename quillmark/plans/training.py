@@ -9,12 +9,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quillmark.functions.stylometry import STYLO_COLUMNS
-from quillmark.operators.evaluation import choose_model, metrics_table
+from quillmark.operators.evaluation import choose_model, confusion_matrix, metrics_table, model_comparison
 from quillmark.operators.features import NUM_FEATURES, feature_pipeline
 from quillmark.operators.models import CLASSIFIERS, FEATURES, scored_runs, scoring_pipeline, train
 from quillmark.operators.splits import SPLITS, stratified_split
 from quillmark.operators.summaries import LABEL
 from quillmark.sources.artifacts import save_model
+from quillmark.sources.files import write_report
+from quillmark.sources.scratch import stored
 
 FEATURE_COLUMNS = ("processed_text", *STYLO_COLUMNS, "tfidf_features", "features_stylo", "features")
 
@@ -27,6 +29,11 @@ class FeatureTables:
     path: str
     spark: SparkSession
 
+    @property
+    def root(self) -> str:
+        """The folder above the feature table."""
+        return self.path.rsplit("/", 1)[0]
+
     def split(self, name: str) -> DataFrame:
         return self.spark.read.parquet(self.path).filter(F.col("split") == name).drop("split")
 
@@ -60,6 +67,8 @@ def train_all(
     """Fit classifiers one after the other; return the models and the metrics of val and test.
 
     Metrics are ``(model, split, metric, value)``, with the training time as a metric of ``train``.
+    Every model scores every split once: the scores are stored next to the features, and metrics and
+    confusion matrices are worked out from them and stored as well (see :func:`evaluation_report`).
     The training split is not cached: each classifier reads the stored features and keeps its own
     compact form of them while it learns.
     """
@@ -67,12 +76,27 @@ def train_all(
     training = tables.split("train").select(LABEL, features)
     fitted = {name: train(name, training, features, **(params or {}).get(name, {})) for name in names}
     models = {name: model for name, (model, _) in fitted.items()}
-    runs = scored_runs(models, {s: tables.split(s).select(LABEL, features) for s in ("val", "test")})
+    held_out = {s: tables.split(s).select(LABEL, features) for s in ("val", "test")}
+    runs = stored(scored_runs(models, held_out), f"{tables.root}/scores", ("model", "split"))
     times = spark.createDataFrame(
         [(name, "train", "train_time_s", float(seconds)) for name, (_, seconds) in fitted.items()],
         "model string, split string, metric string, value double",
     )
-    return models, metrics_table(runs).unionByName(times)
+    stored(confusion_matrix(runs, keys=("model", "split")), f"{tables.root}/confusion")
+    return models, stored(metrics_table(runs).unionByName(times), f"{tables.root}/metrics")
+
+
+def evaluation_report(tables: FeatureTables) -> dict[str, DataFrame]:
+    """What :func:`train_all` stored: scores, metrics, confusion matrices, the best model and the comparison."""
+    read = lambda name: tables.spark.read.parquet(f"{tables.root}/{name}")
+    metrics = read("metrics")
+    return {
+        "scores": read("scores"),
+        "metrics": metrics,
+        "confusion": read("confusion"),
+        "best": choose_model(metrics),
+        "comparison": model_comparison(metrics),
+    }
 
 
 def save_best(tables: FeatureTables, models: dict, metrics: DataFrame, path: str) -> str:
@@ -80,3 +104,17 @@ def save_best(tables: FeatureTables, models: dict, metrics: DataFrame, path: str
     best = choose_model(metrics).first()["model"]
     save_model(scoring_pipeline(tables.model, models[best]), path)
     return best
+
+
+def save_all(tables: FeatureTables, models: dict, metrics: DataFrame, path: str) -> str:
+    """Save every model's pipeline below ``path`` by name, the best one again as ``best``, and the report.
+
+    The report holds metrics, confusion matrices and the best model as JSON lines in ``report``.
+    """
+    for name, model in models.items():
+        save_model(scoring_pipeline(tables.model, model), f"{path}/{name}")
+    best = save_best(tables, models, metrics, f"{path}/best")
+    report = evaluation_report(tables)
+    for name in ("metrics", "confusion", "best", "comparison"):
+        write_report(report[name], f"{path}/report/{name}")
+    return best

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import threading
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 MESSAGE_SCHEMA = "text string, true_label int"
+PROGRESS_SCHEMA = "run string, batch_id long, rows long, duration_ms long, at string"
 
 
 def stream_json_files(spark: SparkSession, directory: str, max_files: int = 1) -> DataFrame:
@@ -36,6 +39,48 @@ def _trigger(every: str | None) -> dict:
     return {"processingTime": every} if every else {"availableNow": True}
 
 
+class ProgressLog(StreamingQueryListener):
+    """Writes the progress of every batch of one checkpoint's query as JSON lines, however many there are.
+
+    Spark itself remembers the latest hundred. A listener hears all queries of its session, so rows carry
+    the query's run. They are written when ``every`` are there, and by :meth:`finish`.
+    """
+
+    def __init__(self, spark: SparkSession, path: str, every: int = 500):
+        self.spark, self.path, self.every = spark, path, every
+        self.rows, self.ended, self.changed = [], set(), threading.Condition()
+
+    def flush(self, run: str | None = None) -> None:
+        rows, self.rows = self.rows, []
+        mine = [r for r in rows if run is None or r[0] == run]
+        if mine:
+            self.spark.createDataFrame(mine, PROGRESS_SCHEMA).coalesce(1).write.mode("append").json(self.path)
+
+    def finish(self, query: StreamingQuery, seconds: float = 60) -> None:
+        """Wait for the events of an ended query, which come after its end, and write what is left."""
+        run = str(query.runId)
+        with self.changed:
+            self.changed.wait_for(lambda: run in self.ended, seconds)
+        self.flush(run)
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        p = event.progress
+        self.rows.append((str(p.runId), p.batchId, p.numInputRows, int(p.durationMs.get("triggerExecution", 0)), p.timestamp))
+        if len(self.rows) >= self.every:
+            self.flush()
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        with self.changed:
+            self.ended.add(str(event.runId))
+            self.changed.notify_all()
+
+
 def write_predictions(df: DataFrame, out: str, checkpoint: str, every: str | None = None) -> StreamingQuery:
     """Append to Parquet, exactly once per message.
 
@@ -57,14 +102,16 @@ def write_with_monitor(
 ) -> StreamingQuery:
     """Like :func:`write_predictions`, and show ``rows`` rows of each batch, scoring it once.
 
-    Each batch goes to its own folder ``batch=<id>``, so a batch repeated after a failure replaces
-    itself. What the monitor shows is read back from there: no batch has to stay in memory.
+    Each batch goes to its own folder ``run=<query>/batch=<id>``, so a batch repeated after a failure
+    replaces itself. The run is the id that the checkpoint holds: batches of another checkpoint never
+    touch it. What the monitor shows is read back from there: no batch has to stay in memory.
     ``monitor`` takes a DataFrame and the batch id; the default prints.
     """
     show = monitor or (lambda batch, _: batch.show(rows, truncate=False))
 
     def both(batch: DataFrame, batch_id: int) -> None:
-        path = f"{out}/batch={batch_id}"
+        run = batch.sparkSession.read.schema("id string").json(f"{checkpoint}/metadata").first()["id"]
+        path = f"{out}/run={run}/batch={batch_id}"
         batch.write.mode("overwrite").parquet(path)
         show(batch.sparkSession.read.schema(batch.schema).parquet(path).limit(rows), batch_id)
 

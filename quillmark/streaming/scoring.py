@@ -10,7 +10,7 @@ from pyspark.sql.streaming import StreamingQuery
 from quillmark.operators.reshape import prediction_view
 from quillmark.plans.preparation import add_style
 from quillmark.profiles import ARABIC, LanguageProfile
-from quillmark.sources.streams import write_predictions, write_with_monitor
+from quillmark.sources.streams import PROGRESS_SCHEMA, ProgressLog, write_predictions, write_with_monitor
 
 
 def stream_features(df: DataFrame, profile: LanguageProfile = ARABIC) -> DataFrame:
@@ -31,19 +31,29 @@ def run_stream(
     run_seconds: float | None = None,
     monitor=None,
     show: bool = False,
+    progress: str | None = None,
 ) -> StreamingQuery:
     """Write a scored stream, for ``run_seconds`` or, without it, until it ends.
 
     ``every=None`` works off what is there. ``show`` or ``monitor`` adds a look at each batch.
-    A run that starts again with its checkpoint goes on where it stopped.
+    A run that starts again with its checkpoint goes on where it stopped. ``progress`` is a folder to which
+    the progress of every batch is appended.
     """
+    log = ProgressLog(df.sparkSession, progress) if progress else None
+    if log:
+        df.sparkSession.streams.addListener(log)
     if show or monitor:
         query = write_with_monitor(df, out, checkpoint, every, monitor)
     else:
         query = write_predictions(df, out, checkpoint, every)
-    ended = query.awaitTermination(run_seconds) if run_seconds else query.awaitTermination()
-    if run_seconds and not ended:
-        query.stop()
+    try:
+        ended = query.awaitTermination(run_seconds) if run_seconds else query.awaitTermination()
+        if run_seconds and not ended:
+            query.stop()
+    finally:
+        if log:
+            log.finish(query)
+            df.sparkSession.streams.removeListener(log)
     return query
 
 
@@ -52,14 +62,14 @@ def stream_count(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path).agg(F.count(F.lit(1)).alias("n_records"))
 
 
-def stream_progress(query: StreamingQuery) -> DataFrame:
-    """``(batch_id, rows, duration_ms)`` of the batches of a query that Spark still remembers."""
-    rows = [
-        (p["batchId"], p["numInputRows"], int(p["durationMs"].get("triggerExecution", 0)))
-        for p in query.recentProgress
-        if p["numInputRows"]
-    ]
-    return SparkSession.active().createDataFrame(rows, "batch_id bigint, rows bigint, duration_ms bigint")
+def stream_progress(spark: SparkSession, path: str) -> DataFrame:
+    """``(batch_id, rows, duration_ms)`` of every batch with rows that runs of one checkpoint logged under ``path``.
+
+    A batch that ran again after a failure counts once, with its latest run.
+    """
+    logged = spark.read.schema(PROGRESS_SCHEMA).json(path).filter(F.col("rows") > 0)
+    latest = logged.groupBy("batch_id").agg(F.max_by(F.struct("rows", "duration_ms"), "at").alias("last"))
+    return latest.select("batch_id", "last.rows", "last.duration_ms")
 
 
 def progress_summary(progress: DataFrame) -> DataFrame:
