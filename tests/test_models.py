@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from quillmark.functions.stylometry import STYLO_COLUMNS
 from quillmark.operators import features, models
 from quillmark.plans.preparation import add_style, load_long, preprocess
-from quillmark.plans.training import build_features, save_best, train_all
+from quillmark.plans.training import build_features, evaluation_report, save_all, save_best, train_all
 from quillmark.profiles import LATIN
 from quillmark.sources import artifacts, files
 from quillmark.sources.scratch import scratch_dir
@@ -78,8 +78,14 @@ def test_train_choose_save_load(spark, corpus, tables):
     assert {m for m, _, _ in rows} == set(models.CLASSIFIERS)
     assert rows["LogisticRegression", "test", "accuracy"] > 0.9
     assert rows["LogisticRegression", "train", "train_time_s"] > 0
+    confusion = evaluation_report(tables)["confusion"].filter("split = 'test'").groupBy("model").sum("n").collect()
+    assert {r["sum(n)"] for r in confusion} == {tables.split("test").count()}
     path = scratch_dir(spark, "model")
     best = save_best(tables, fitted, metrics, path)
+    everything = scratch_dir(spark, "models")
+    assert save_all(tables, fitted, metrics, everything) == best
+    assert all(artifacts.load_model(f"{everything}/{name}").stages for name in (*models.CLASSIFIERS, "best"))
+    assert spark.read.json(f"{everything}/report/best").first()["model"] == best
     assert rows[best, "val", "f1"] == max(rows[m, "val", "f1"] for m in models.CLASSIFIERS)
     pipeline = artifacts.load_model(path)
     scored = models.score(pipeline, corpus).select("id", "prediction", "score")

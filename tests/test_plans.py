@@ -13,7 +13,8 @@ from quillmark.profiles import LATIN
 
 CLEANING = "(?:http|www)"  # part of one cleaning pattern: its count is the number of cleaning passes
 
-PLAIN = [n for n in entry.queries() if not n.startswith(("score_", "stream_", "model_", "prediction_", "tfidf_vec", "feature_vec"))]
+OF_TWO = ("op", "pipeline")  # the subpackage checks its own plans
+PLAIN = [n for n in entry.queries() if not n.startswith(OF_TWO)]
 
 
 def plan(df):
@@ -77,13 +78,44 @@ def test_histogram_reads_the_texts_once(spark, sf_dir):
     assert reused >= 1 and text.count("FileScan") == 2  # documents and labels
 
 
-def test_tfidf_tokenizes_once(spark, sf_dir):
+def test_tfidf_tokenizes_once_and_joins_plain_exchanges(spark, sf_dir):
     docs = tables.table(spark, sf_dir, "documents").select("doc_id", tokenize_ws("text").alias("tokens"))
-    text = final_plan(tfidf.tf_idf_table(docs, "doc_id"))
-    assert text.count("Generate explode") == 1 and "ReusedExchange" in text
+    text = plan(tfidf.tf_idf_table(docs, "doc_id"))
+    assert "Generate" not in text and "Aggregate" not in text.split("Subquery")[0]
     assert plan(tfidf.document_frequency(docs)).split("== Initial")[0].count("regexp_extract_all") == 1
 
 
+def test_a_term_in_every_document_is_split(spark):
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.shuffle.partitions": "8",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "32k", "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+    }
+    before = {k: spark.conf.get(k) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        docs = spark.range(60_000).selectExpr("id AS doc", "array('the', concat('w', id % 5000)) AS tokens")
+        table = tfidf.tf_idf_table(docs.repartition(8), "doc")
+        assert "skew=true" in final_plan(table) and table.filter("term = 'the'").count() == 60_000
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
+def test_quantiles_and_curves_run_nothing_before_an_action_and_read_once(spark, sf_dir):
+    group = "plans-" + tokenize_ws.__name__
+    spark.sparkContext.setJobGroup(group, "building plans")
+    try:
+        made = [entry.queries()[n](spark, sf_dir) for n in ("feature_quartiles", "roc_auc", "roc_points", "metrics_table", "exact_split")]
+        assert list(spark.sparkContext.statusTracker().getJobIdsForGroup(group)) == []
+    finally:
+        spark.sparkContext._jsc.clearJobGroup()
+    text = final_plan(made[0])
+    scans = text.count("FileScan")
+    assert text.count(CLEANING) <= 1 + text.count("Subquery") and "ReusedExchange" in text and scans <= 4
+
+
 def test_labels_are_broadcast_only_when_small(spark, sf_dir):
     before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     try:

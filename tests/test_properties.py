@@ -157,6 +157,30 @@ def test_rules_stay_fast_on_long_runs(spark):
     assert rows.drop("text").agg(F.count("*").alias("n"), F.sum("total_sentences")).first()["n"] == len(values)
 
 
+def test_trimming_stays_fast_on_long_runs_of_blanks(spark):
+    from quillmark.sources.files import texts_of_lines
+
+    n = 200_000
+    blank = " " * n
+    lines = ["a" + blank + "b", blank + "c" + blank, blank, "a " * (n // 2) + "d", "\t\u00a0" * (n // 2) + "e" + "\u3000" * n]
+    got = [r["text"] for r in texts_of_lines(spark.createDataFrame([(v,) for v in lines], "value string")).collect()]
+    assert got == ["a" + blank + "b", "c", "a " * (n // 2) + "d", "e"]
+
+
+def test_exact_split_has_exact_proportions(spark):
+    from quillmark.operators.splits import exact_split
+
+    sizes = {0: 1003, 1: 3}
+    rows = [(f"{c}-{i}", c) for c, n in sizes.items() for i in range(n)] + [("x", None), (None, 1), ("y", 2)]
+    df = spark.createDataFrame(rows, "id string, category_encode int")
+    split = exact_split(df.repartition(5), "id")
+    assert {tuple(r) for r in split.collect()} == {tuple(r) for r in exact_split(df, "id").collect()}
+    got = {(r["category_encode"], r["split"]): r["count"] for r in split.groupBy("category_encode", "split").count().collect()}
+    for c, n in sizes.items():
+        ends = [0, round(n * 0.7), round(n * 0.85), n]
+        assert [got.get((c, s), 0) for s in ("train", "val", "test")] == [b - a for a, b in zip(ends, ends[1:])]
+
+
 def test_split_is_a_stable_partition(spark):
     df = spark.range(5000).withColumn("category_encode", F.when(F.col("id") % 11 == 0, 1).when(F.col("id") % 7 == 0, None).otherwise(0))
     split = stratified_split(df, "id")

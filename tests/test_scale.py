@@ -24,6 +24,15 @@ def test_dedup_with_one_text_in_a_third_of_the_rows(spark):
     assert tuple(report) == (3000, len(first), 3000 - len(first))
 
 
+def test_dedup_survivor_does_not_depend_on_partitions(spark):
+    rows = [(f"text {i % 40}", "s", "c", i) for i in range(800)]
+    df = spark.createDataFrame(rows, "text string, subset string, category string, id int")
+    survivors = [
+        {tuple(r) for r in dedup_exact(df.repartition(n), "text", ["subset", "category"]).collect()} for n in (1, 3, 7)
+    ]
+    assert survivors[0] == survivors[1] == survivors[2] == {(f"text {i}", "s", "c", i) for i in range(40)}
+
+
 @pytest.mark.parametrize("n", [5, 1000, 1500])
 def test_top_n_beyond_sparks_own_limit(spark, n):
     rnd = random.Random(1)

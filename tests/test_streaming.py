@@ -23,17 +23,45 @@ def test_stream_equals_batch_and_shows_each_batch(spark, sf_dir, messages):
     root, model, seen = scratch_dir(spark, "stream"), _pipeline(spark, sf_dir), []
     _drop(messages, f"{root}/in", files=3)
     stream = scoring.stream_score(streams.stream_json_files(spark, f"{root}/in", 1), model, LATIN)
-    query = scoring.run_stream(stream, f"{root}/out", f"{root}/cp", every=None, monitor=lambda b, i: seen.append((i, b.count())))
+    scoring.run_stream(
+        stream, f"{root}/out", f"{root}/cp", every=None, monitor=lambda b, i: seen.append((i, b.count())), progress=f"{root}/log"
+    )
     got = spark.read.parquet(f"{root}/out").select(KNOWN)
     batch = prediction_view(model.transform(add_style(messages, LATIN))).select(KNOWN)
     assert got.exceptAll(batch).count() == 0 and batch.exceptAll(got).count() == 0
     assert [i for i, _ in seen] == [0, 1, 2] and all(0 < n <= 10 for _, n in seen)
-    progress = scoring.stream_progress(query)
-    summary = scoring.progress_summary(progress).first()
+    summary = scoring.progress_summary(scoring.stream_progress(spark, f"{root}/log")).first()
     assert (summary["n_batches"], summary["n_rows"]) == (3, messages.count())
     assert summary["first_batch_ms"] > 0 and summary["rows_per_second"] > 0
 
 
+def test_progress_of_more_batches_than_spark_remembers(spark):
+    root = scratch_dir(spark, "many")
+    rows = spark.range(130).selectExpr("CAST(id AS string) AS text", "CAST(id % 2 AS int) AS true_label", "id")
+    rows.repartitionByRange(130, "id").drop("id").write.json(f"{root}/in")
+    files = spark.read.json(f"{root}/in").inputFiles()
+    stream = streams.stream_json_files(spark, f"{root}/in", 1)
+    query = scoring.run_stream(stream, f"{root}/out", f"{root}/cp", every=None, progress=f"{root}/log")
+    assert len(query.recentProgress) <= 100 < len(files)
+    progress = scoring.stream_progress(spark, f"{root}/log")
+    summary = scoring.progress_summary(progress).first()
+    assert (summary["n_batches"], summary["n_rows"]) == (len(files), 130)
+    assert summary["first_batch_ms"] == progress.orderBy("batch_id").first()["duration_ms"] > 0
+
+
+def test_monitor_sink_keeps_rows_of_another_checkpoint(spark):
+    root = scratch_dir(spark, "two-checkpoints")
+    spark.createDataFrame([(f"t{i}", 1) for i in range(20)], "text string, true_label int").write.json(f"{root}/in")
+    run = lambda cp: scoring.run_stream(
+        streams.stream_json_files(spark, f"{root}/in", 9), f"{root}/out", f"{root}/{cp}", every=None, monitor=lambda b, i: None
+    )
+    counts = []
+    for checkpoint in ("a", "a", "b"):
+        run(checkpoint)
+        counts.append(scoring.stream_count(spark, f"{root}/out").first()["n_records"])
+    assert counts == [20, 20, 40]
+
+
 def test_restart_repeats_nothing(spark, sf_dir, messages):
     root, model = scratch_dir(spark, "restart"), _pipeline(spark, sf_dir)
 
