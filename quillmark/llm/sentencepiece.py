@@ -3,8 +3,8 @@
 The pieces of a vocabulary file form an automaton. As it reads a text, its output links name all pieces
 that end at the current position; each relaxes the best score there, and the path back gives the pieces.
 A stretch that no piece covers costs one unknown character, written as byte pieces. Where the
-vocabulary allows it (no piece has another character before a space mark), a text falls into words
-whose best paths are independent, so the paths of words seen before are looked up.
+vocabulary allows it (no piece has another character before a space mark, or mixes letters with others),
+a text falls into words whose best paths are independent, so the paths of words seen before are looked up.
 """
 
 from __future__ import annotations
@@ -26,7 +26,7 @@ from pyspark.sql import types as T
 SPACE = "▁"
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6  # kinds of pieces in a vocabulary file
 UNKNOWN_PENALTY = 10.0
-CACHE = 400_000  # words whose paths a task keeps
+CACHE = 500_000  # words whose paths a worker keeps, about 120 MB
 
 
 def read_bytes(spark: SparkSession, path: str) -> bytes:
@@ -73,7 +73,7 @@ def read_pieces(model: bytes) -> list[tuple[str, float, int]]:
 
 @dataclass
 class Vocabulary:
-    """What a task needs of a vocabulary: the automaton, byte pieces, and paths of words seen."""
+    """What a worker needs of a vocabulary: the automaton, byte pieces, and paths of words seen."""
 
     pieces: list[tuple[str, float, int]]
     cache: dict = field(default_factory=dict)
@@ -93,15 +93,17 @@ class Vocabulary:
         self.unknown = next((i for i, p in enumerate(self.pieces) if p[2] == UNKNOWN), None)
         scores = [s for p, s, kind in self.pieces if kind == NORMAL]
         self.unknown_score = min(scores, default=0.0) - UNKNOWN_PENALTY
-        # A best path breaks before a space mark that follows another character, if no piece spans that
-        # place, and around a character that no piece holds.
+        # A best path breaks wherever no piece spans: before a space mark that follows another character,
+        # and between letters and other characters, if the vocabulary keeps these apart.
+        texts = [p.lstrip(SPACE) for p, _, kind in self.pieces if kind in usable]
         self.words = None
-        texts = [p for p, _, kind in self.pieces if kind in usable]
-        if not any(SPACE in p.lstrip(SPACE) for p in texts):
-            known = set().union(*texts)
-            alone = "".join(c for c in "\n\r\t" if c not in known)
-            one = f"[{alone}]|" if alone else ""
-            self.words = re.compile(f"{one}{SPACE}*[^{SPACE}{alone}]+|{SPACE}+")
+        if not any(SPACE in p for p in texts):
+            odd = "".join(sorted(c for c in set().union(*texts) if c.isalnum() and not c.isalpha() and not c.isdecimal()))
+            letter, other = f"[^\\W\\d_{odd}]", f"(?:[^\\w{SPACE}]|[\\d_{odd}])"
+            mixed = re.compile(f"{letter}{other}|{other}{letter}")
+            apart = not any(mixed.search(p) for p in texts)
+            one = f"{SPACE}*{letter}+|{SPACE}*{other}+" if apart else f"{SPACE}*[^{SPACE}]+"
+            self.words = re.compile(f"{one}|{SPACE}+")
 
     def viterbi(self, text: str) -> list[int]:
         """Ids of the best path; of equal ones that whose last piece begins first.
@@ -162,16 +164,16 @@ class Vocabulary:
         if self.words is None:
             out.extend(self.viterbi(marked))
             return
-        cache = self.cache
+        cache, add = self.cache, out.frombytes
         for word in self.words.findall(marked):
             path = cache.get(word)
             if path is None:
-                path = array("i", self.viterbi(word))
+                path = array("i", self.viterbi(word)).tobytes()
                 if len(word) <= 64:
                     if len(cache) >= CACHE:
                         cache.clear()
                     cache[word] = path
-            out.extend(path)
+            add(path)
 
     def decode(self, ids: Iterable[int] | None) -> str | None:
         """The text of ids: pieces with spaces for marks, bytes joined to characters, without the space put in front."""
@@ -185,13 +187,13 @@ class SentencePiece:
     """Columns that encode and decode with one vocabulary, sent to the tasks by value (about half a megabyte)."""
 
     def __init__(self, spark: SparkSession, path: str):
-        shared = spark.sparkContext.broadcast(read_pieces(read_bytes(spark, path)))
-        made: dict[str, Vocabulary] = {}  # one per task and function
+        shared = spark.sparkContext.broadcast({"pieces": read_pieces(read_bytes(spark, path))})
 
         def vocabulary() -> Vocabulary:
-            if "it" not in made:
-                made["it"] = Vocabulary(shared.value)
-            return made["it"]
+            """Made once per worker: its copy of the broadcast value keeps automaton and paths for later tasks."""
+            if "made" not in shared.value:
+                shared.value["made"] = Vocabulary(shared.value["pieces"])
+            return shared.value["made"]
 
         @F.arrow_udf(T.ArrayType(T.IntegerType()))
         def encode(texts: pa.Array) -> pa.Array:
