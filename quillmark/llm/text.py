@@ -34,8 +34,3 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     path = scratch_dir(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
-def fields(df: DataFrame, *names: str) -> list[Column]:
-    """Columns by exact position, so that another column of the same name in other case cannot clash."""
-    return [F.col(f"`{n}`") for n in names]
