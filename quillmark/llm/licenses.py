@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 K = 3
 MASK_BITS = 62  # template positions per vote mask
 MASKS = 4
+BROADCAST_WORDS = 50_000  # templates up to this size, about 5 MB, are broadcast
 APART = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]++"
 KELVIN, RING = "\u212a", "\u212b"
 
@@ -125,9 +126,10 @@ def scan_licenses(
     spark = docs.sparkSession
     grams = _grams(docs, doc_id, text).withColumn("hash", F.xxhash64("w0", "w1", "w2"))
     same = [F.col(f"w{i}") == F.col(f"t{i}") for i in range(K)]
-    hits = grams.join(
-        template_positions(spark, templates), reduce(lambda a, b: a & b, same, F.col("hash") == F.col("t_hash")), "left"
-    )
+    positions = template_positions(spark, templates)
+    if sum(len(template_words(t)) for t in templates) <= BROADCAST_WORDS:
+        positions = F.broadcast(positions)  # else Spark would shuffle all 3-grams to join them
+    hits = grams.join(positions, reduce(lambda a, b: a & b, same, F.col("hash") == F.col("t_hash")), "left")
     start = F.coalesce(F.col("p"), F.lit(0)) == 0
     hits = hits.filter(F.col("template").isNotNull() | start)
     bit = lambda i: F.when(
