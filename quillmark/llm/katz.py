@@ -21,6 +21,7 @@ dealt by pair instead, so no word is one partition's burden. Nothing that grows
 
 from __future__ import annotations
 
+import ctypes
 import math
 import pickle
 from array import array
@@ -38,9 +39,9 @@ from quillmark.llm.rule_ensemble import remainder
 from quillmark.llm.text import stored
 
 K = 5  # counts up to this one are discounted
-BLOCK_BYTES = 24 << 20  # text that a task packs together
-PARTITION_TOKENS = 6_000_000
-PARTITIONS = 24  # at least
+BLOCK_BYTES = 6 << 20  # text that a task packs together
+PARTITION_TOKENS = 2_500_000
+PARTITIONS = 48  # at least
 END, START = b" end", b" start"  # no word holds a blank
 SCALE = float(1 << 28)  # sums per document are kept in fixed point: exact to add in any order
 PACKED = "kind string, part long, block long, data binary"
@@ -87,11 +88,19 @@ def hashes(words) -> np.ndarray:
     return np.fromiter((digest(w) for w in words), np.uint64)
 
 
+def release() -> None:
+    """Give memory that Arrow and the C library keep for later back to the system: workers outlive their tasks."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
 def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list, list]]:
     """Rows gathered up to a size of text: other values and texts as bytes."""
     rows, texts, size = [], [], 0
     for batch in batches:
-        body = batch.column("text").cast(pa.large_binary())
+        body = batch.column("text").cast(pa.binary())  # no copy
         names = [c for c in batch.schema.names if c != "text"]
         others = list(zip(*(batch.column(c).to_pylist() for c in names))) if names else [()] * batch.num_rows
         for other, text in zip(others, body):
@@ -104,6 +113,7 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list, list]]:
                 rows, texts, size = [], [], 0
     if rows:
         yield rows, texts
+    release()
 
 
 def count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -154,45 +164,49 @@ def packer(partitions: int, hot: dict[int, int]):
         task = TaskContext.get().partitionId()
         hot_words = np.array(sorted(hot), np.uint64)
         for number, (rows, texts) in enumerate(_blocks(batches)):
-            block = (task << 24) | number
-            ids, seen, ends = Ids(), array("i"), []
-            end = ids[END]
-            for text in texts:
-                seen.extend(map(ids.__getitem__, tokens(text)))
-                seen.append(end)
-                ends.append(len(seen))
-            held = np.array([r[1] for r in rows], bool)
-            ends = np.array(ends)
-            start = ids[START]
-            names = hashes(ids)
-            order = np.argsort(names)
-            rank = np.empty(len(names), np.int64)
-            rank[order] = np.arange(len(names))
-            names = names[order]
-            w = rank[np.frombuffer(seen, np.int32)]
-            h = np.concatenate(([0], w[:-1]))
-            h[np.concatenate(([0], ends[:-1]))] = rank[start]
-            doc = np.repeat(np.arange(len(rows), dtype=np.int32), np.diff(ends, prepend=0))
-            part = (names % np.uint64(partitions)).astype(np.int64)[w]
-            frequent = np.isin(names, hot_words)[w]
-            if frequent.any():
-                mixed = names[w[frequent]] * np.uint64(0x9E3779B97F4A7C15) ^ names[h[frequent]]
-                part[frequent] = (mixed % np.uint64(partitions)).astype(np.int64)
-            order = np.argsort((part * len(names) + w) * len(names) + h, kind="stable")
-            part, w, h, doc = part[order], w[order], h[order], doc[order]
-            cuts = np.searchsorted(part, np.arange(partitions + 1))
-            out = [("list", 0, block, pickle.dumps(([r[0] for r in rows], held, np.diff(ends, prepend=0))))]
-            for p in np.flatnonzero(np.diff(cuts)).tolist():
-                at = slice(cuts[p], cuts[p + 1])
-                out.append(("pairs", p, block, _packed_pairs(names, w[at], h[at], doc[at], ~held[doc[at]], len(rows))))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(c, t) for c, t in zip(zip(*out), (pa.string(), pa.int64(), pa.int64(), pa.binary()))],
-                names=["kind", "part", "block", "data"],
-            )
+            yield _packed_block((task << 24) | number, rows, texts, partitions, hot_words)
+            release()
 
     return run
 
 
+def _packed_block(block: int, rows: list, texts: list, partitions: int, hot_words: np.ndarray) -> pa.RecordBatch:
+    ids, seen, ends = Ids(), array("i"), []
+    end = ids[END]
+    for text in texts:
+        seen.extend(map(ids.__getitem__, tokens(text)))
+        seen.append(end)
+        ends.append(len(seen))
+    held, ends = np.array([r[1] for r in rows], bool), np.array(ends)
+    start = ids[START]
+    names = hashes(ids)
+    order = np.argsort(names)
+    rank = np.empty(len(names), np.int32)
+    rank[order] = np.arange(len(names), dtype=np.int32)
+    names = names[order]
+    w = rank[np.frombuffer(seen, np.int32)]
+    h = np.concatenate((w[:1], w[:-1]))
+    h[np.concatenate(([0], ends[:-1]))] = rank[start]
+    doc = np.repeat(np.arange(len(rows), dtype=np.int32), np.diff(ends, prepend=0))
+    part = (names % np.uint64(partitions)).astype(np.int32)[w]
+    frequent = np.isin(names, hot_words)[w]
+    if frequent.any():
+        mixed = names[w[frequent]] * np.uint64(0x9E3779B97F4A7C15) ^ names[h[frequent]]
+        part[frequent] = (mixed % np.uint64(partitions)).astype(np.int32)
+    order = np.argsort((part.astype(np.int64) * len(names) + w) * len(names) + h, kind="stable")
+    part, w, h, doc = part[order], w[order], h[order], doc[order]
+    del order, seen, ids
+    cuts = np.searchsorted(part, np.arange(partitions + 1))
+    out = [("list", 0, block, pickle.dumps(([r[0] for r in rows], held, np.diff(ends, prepend=0))))]
+    for p in np.flatnonzero(np.diff(cuts)).tolist():
+        at = slice(cuts[p], cuts[p + 1])
+        out.append(("pairs", p, block, _packed_pairs(names, w[at], h[at], doc[at], ~held[doc[at]], len(rows))))
+    return pa.RecordBatch.from_arrays(
+        [pa.array(c, t) for c, t in zip(zip(*out), (pa.string(), pa.int64(), pa.int64(), pa.binary()))],
+        names=["kind", "part", "block", "data"],
+    )
+
+
 def _packed_pairs(names, w, h, doc, train, n_docs) -> bytes:
     """Tokens of one partition, in order of word and history."""
     first = np.flatnonzero(np.concatenate(([True], (w[1:] != w[:-1]) | (h[1:] != h[:-1]))))
@@ -228,6 +242,8 @@ def evaluator(words: Words, hot: dict[int, int], past_parts: int):
             out += _evaluate(p, blobs, words, hot, past_parts)
         types = (pa.string(), pa.int64(), pa.int64(), pa.binary())
         names = ["kind", "part", "block", "data"]
+        del rows, blobs
+        release()
         return pa.table([pa.array(c, t) for c, t in zip(zip(*out), types)], names=names)
 
     return run
