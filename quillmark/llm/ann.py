@@ -3,14 +3,17 @@
 Centroids are fitted on a bounded sample. Every vector goes to the posting list of its nearest centroid
 and, near a boundary, to those of other centroids that are almost as near. Lists over a size limit are
 cut into parts that are searched side by side, and the queries of a list into blocks, so that no list is
-one task's burden. A query walks a
-neighbour graph of the centroids, kept in memory, and reads only lists whose centroid is not much farther
-than the nearest. Queries and lists meet in one join on the list's number.
+one task's burden. Vectors find their lists on a
+neighbour graph of the centroids, kept in memory. A query ranks all centroids and reads the lists whose centroid
+is not much farther than the nearest: at most a share of all lists, so that recall does not fall as lists grow in
+number, and at least as many as hold ``k`` other entries. Queries and lists meet in one join on the list's number.
 """
 
 from __future__ import annotations
 
 import heapq
+import math
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -122,6 +125,50 @@ def _lists_of(vec: Column, graph, width: int, ratio: float, most: int) -> Column
     return lists(vec)
 
 
+def _lists_to_read(vec: Column, shared, ratio: float, share: float, least: int, entries: int) -> Column:
+    """Numbers of the lists that a query reads, nearest centroid first.
+
+    Lists whose centroid is at most ``1 + ratio`` times as far as the nearest, cut to ``share`` of all lists or
+    to ``least``, whichever is more; then further ones until they own ``entries`` entries. ``shared`` holds the
+    graph and how many entries each list owns.
+    """
+
+    @F.arrow_udf("array<int>")
+    def lists(vectors: pa.Array) -> pa.Array:
+        graph, owned = shared.value
+        centroids, out = graph.centroids, []
+        most = max(least, math.ceil(share * len(centroids)))
+        flat = vectors.flatten().to_numpy(zero_copy_only=False).reshape(len(vectors), -1)
+        for query in flat:
+            squared = ((centroids - query) ** 2).sum(1)
+            order = np.argsort(squared, kind="stable")
+            near = np.searchsorted(squared[order], (1 + ratio) ** 2 * squared[order[0]] + 1e-12, "right")
+            enough = np.searchsorted(np.cumsum(owned[order]), entries) + 1
+            out.append(order[: max(min(int(near), most), int(enough))].tolist())
+        return pa.array(out, pa.list_(pa.int32()))
+
+    return lists(vec)
+
+
+def _squared(base: np.ndarray, queries: np.ndarray, few: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """For each query, rows of ``base`` that hold its ``few`` nearest, ties included, and their squared distances.
+
+    A matrix product picks the rows with room for its rounding; their distances are then worked out directly.
+    """
+    norms = np.einsum("ij,ij->i", base, base)
+    own = np.einsum("ij,ij->i", queries, queries)
+    for at in range(0, len(queries), 256):
+        some = queries[at : at + 256]
+        rough = norms + own[at : at + 256, None] - 2 * some @ base.T
+        room = 1e-12 * base.shape[1] * (norms.max() + own[at : at + 256])
+        limits = np.partition(rough, few - 1, axis=1)[:, few - 1]
+        for query, row, limit in zip(some, rough, limits + 2 * room):
+            rows = np.flatnonzero(~(row > limit))
+            squared = ((base[rows] - query) ** 2).sum(1)
+            last = np.partition(squared, few - 1)[few - 1]
+            yield rows[squared <= last], squared[squared <= last]
+
+
 def nearest_neighbours(
     vectors: DataFrame,
     is_query: Column,
@@ -134,6 +181,7 @@ def nearest_neighbours(
     replicas: int = 4,
     search_ratio: float = 0.6,
     search_lists: int = 24,
+    search_share: float = 0.3,
 ) -> DataFrame:
     """``(query_id, rank, vec_id, score)``: the ``k`` nearest found for each row that ``is_query`` marks.
 
@@ -141,11 +189,12 @@ def nearest_neighbours(
     the original vectors, ties to the smaller id; a query's own row is no candidate. Vectors that are
     null, empty, zero or hold a null or non-finite part take no part, nor do those of another length than
     the smallest id's. Equal vectors are one entry with their ``k + 1`` smallest ids, which is all that any
-    query can need of them. Rows with equal ids and vectors are one row. With fewer candidates in the lists
-    than ``k`` a query returns those. An empty table gives an empty result.
+    query can need of them. Rows with equal ids and vectors are one row. Queries have ``k`` neighbours wherever the
+    table holds as many. An empty table gives an empty result.
 
     ``sample`` vectors (those of the smallest hashes) fit one centroid per ``per_centroid`` indexed vectors,
-    ``MAX_CENTROIDS`` at most; all vectors are indexed.
+    ``MAX_CENTROIDS`` at most; all vectors are indexed. Lists within the ``search_ratio`` are read up to
+    ``search_share`` of all, or ``search_lists`` if that is more: vectors without structure need a share.
     """
     spark = vectors.sparkSession
     result = "query_id long, rank int, vec_id long, score double"
@@ -164,13 +213,20 @@ def nearest_neighbours(
     chosen = entries.orderBy("key").limit(sample).select("vec").collect()
     points = np.array([r.vec for r in chosen])
     centroids = fit_centroids(points, max(1, min(MAX_CENTROIDS, n_entries // per_centroid)))
-    graph = spark.sparkContext.broadcast(CentroidGraph(centroids))
+    index = CentroidGraph(centroids)
+    graph = spark.sparkContext.broadcast(index)
 
     own = _lists_of(F.col("vec"), graph, 16, replicate_ratio, replicas)
-    posted = stored(entries.select("key", "vec", "ids", F.explode(own).alias("list")), "postings")
+    posted = stored(entries.select("key", "vec", "ids", F.posexplode(own).alias("place", "list")), "postings")
     sizes = posted.groupBy("list").agg(F.ceil(F.count(F.lit(1)) / LIST_SIZE).cast("int").alias("parts"))
+    owned = np.zeros(len(centroids), np.int64)  # MAX_CENTROIDS at most
+    for r in posted.filter("place = 0").groupBy("list").agg(F.count(F.lit(1)).alias("n")).collect():
+        owned[r.list] = r.n
+    posted = posted.drop("place")
     asked = rows.filter(is_query).select("key").distinct().join(entries.select("key", "vec"), "key")
-    visits = asked.select("key", "vec", F.explode(_lists_of(F.col("vec"), graph, 48, search_ratio, search_lists)).alias("list"))
+    shared = spark.sparkContext.broadcast((index, owned))
+    read = _lists_to_read(F.col("vec"), shared, search_ratio, search_share, search_lists, k + 1)
+    visits = asked.select("key", "vec", F.explode(read).alias("list"))
     visits = stored(visits, "visits")
     blocks = visits.groupBy("list").agg(F.ceil(F.count(F.lit(1)) / QUERY_BLOCK).cast("int").alias("blocks"))
     cut = F.broadcast(sizes.join(blocks, "list"))  # one row per visited list, MAX_CENTROIDS at most
@@ -187,14 +243,11 @@ def nearest_neighbours(
             names = right.column("ids").combine_chunks()
             keys = left.column("key").to_pylist()
             queries = left.column("vec").combine_chunks().flatten().to_numpy().reshape(len(left), -1)
-            for key, query in zip(keys, queries):
-                squared = ((base - query) ** 2).sum(1)
-                few = min(k + 1, len(squared))
-                limit = np.partition(squared, few - 1)[few - 1]
-                for i in np.flatnonzero(squared <= limit).tolist():
+            for key, (near, squared) in zip(keys, _squared(base, queries, min(k + 1, len(base)))):
+                for i, d in zip(near.tolist(), np.sqrt(squared).tolist()):
                     found[0].append(key)
                     found[1].append(names[i].as_py())
-                    found[2].append(float(np.sqrt(squared[i])))
+                    found[2].append(d)
         types = (pa.string(), pa.list_(pa.int64()), pa.float64())
         return pa.table([pa.array(c, t) for c, t in zip(found, types)], names=["key", "ids", "score"])
 

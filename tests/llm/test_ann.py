@@ -85,3 +85,24 @@ def test_graph_search_finds_the_nearest_centroids():
         exact = np.argsort(((centroids - query) ** 2).sum(1))[:10]
         hits += len(set(graph.search(query, 48)[0][:10].tolist()) & set(exact.tolist()))
     assert hits >= 980
+
+
+def test_recall_where_lists_are_many(spark):
+    """Unit vectors without structure, like the given ones, in 300 lists; 24 of them are under a tenth."""
+    rng = np.random.default_rng(8)
+    vectors = rng.normal(size=(6000, 64))
+    vectors = (vectors / np.linalg.norm(vectors, axis=1)[:, None]).astype(np.float32).astype(float)
+    ids = np.arange(6000)
+    table = _table(spark, list(zip(ids.tolist(), vectors.tolist())))
+    got = _answers(q.nearest_neighbours(table, F.col("vec_id") % 100 == 0, per_centroid=20))
+    exact = _exact(ids, vectors)
+    assert sum(len({r[1] for r in got[i]} & {j for j, _ in exact[i]}) for i in exact) >= 0.97 * 10 * len(exact)
+
+
+def test_queries_whose_near_lists_hold_too_few_read_on(spark):
+    rng = np.random.default_rng(9)
+    vectors = (np.repeat(1000 * rng.normal(size=(200, 8)), 3, axis=0) + rng.normal(size=(600, 8))).astype(np.float32).astype(float)
+    ids = np.arange(600)
+    table = _table(spark, list(zip(ids.tolist(), vectors.tolist())))
+    got = _answers(q.nearest_neighbours(table, F.col("vec_id") % 100 == 0, per_centroid=3))
+    assert {i: len(rows) for i, rows in got.items()} == dict.fromkeys(range(0, 600, 100), 10)
