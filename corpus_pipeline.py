@@ -40,12 +40,21 @@ def filter_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def remove_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each near-duplicate group, the one of the smallest id."""
+    """One document of each near-duplicate group (two bits, as in op6), the one of the smallest id."""
     return simhash.near_dedup(docs)
 
 
+def remove_similar(docs: DataFrame) -> DataFrame:
+    """One document of each group that two bits or a five-word Jaccard similarity of 0.8 link, that of the smallest id."""
+    return simhash.near_dedup(docs, wide=True)
+
+
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each document as often as the mix takes it: sources at their target weights."""
+    """Each document as often as the mix takes it: sources at their target weights.
+
+    Similar documents that the fingerprints leave go first, so that the weights are those of what stays.
+    """
+    docs = stored(remove_similar(docs), "pipeline-dissimilar")
     mixed = computed(mixing.mix(docs), "_times", F.col("copies")).filter(F.col("_times") > 0)
     again = mixed.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_times"))))
     return again.select(*(F.col(f"`{c}`") for c in docs.columns))

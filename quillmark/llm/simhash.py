@@ -6,6 +6,9 @@ four of a common codeword, and no word has more than six codewords that near. A
 three segments. Two errors leave one segment untouched: its bits, together with the indices of the
 codewords near the next segment, are keys that linked fingerprints must share. Keys are joined and
 candidates verified; a key that many share goes another, exact way (see :func:`links`).
+
+Texts a few words apart are often more than two bits apart. A second kind of link, off by default, joins texts
+whose sets of five-word shingles have a Jaccard similarity of 0.8 or more (see :func:`similar_links`).
 """
 
 from __future__ import annotations
@@ -27,20 +30,29 @@ SEED = 42
 GENERATOR = 0xC75  # x^11 + x^10 + x^6 + x^5 + x^4 + x^2 + 1 generates the Golay code
 SEGMENTS = ((0, 22), (22, 21), (43, 21))  # first bit and width
 BUCKET = 48  # fingerprints under one key that are compared in pairs
+WIDE = 5  # words in a shingle of the similarity links, which ask for a Jaccard similarity of 4/5
+BANDS, BAND_ROWS = 25, 5  # a pair at 4/5 shares no band with a probability of (1 - 0.8**5)**25, 5 in 100,000
 
 
-def fingerprint_of(text: bytes | None) -> int:
-    """Unsigned fingerprint of one text in UTF-8; null and blank texts have 0."""
+def shingle_hashes(text: bytes | None, size: int) -> np.ndarray:
+    """Hashes of all runs of ``size`` words; of the whole text if it has fewer; none for null and blank texts."""
     words = (text or b"").lower().split()  # bytes: folds A-Z and splits at ASCII white space only
     if not words:
-        return 0
+        return np.zeros(0, "<u8")
     joined = b" ".join(words)
     ends = np.cumsum([len(w) + 1 for w in words])
     starts = np.concatenate(([0], ends[:-1]))
-    last = max(len(words) - SHINGLE, 0)
-    spans = zip(starts[: last + 1].tolist(), (ends[min(SHINGLE, len(words)) - 1 :] - 1).tolist())
+    last = max(len(words) - size, 0)
+    spans = zip(starts[: last + 1].tolist(), (ends[min(size, len(words)) - 1 :] - 1).tolist())
     digest = xxhash.xxh64_intdigest
-    hashes = np.array([digest(joined[a:b], SEED) for a, b in spans], "<u8")
+    return np.array([digest(joined[a:b], SEED) for a, b in spans], "<u8")
+
+
+def fingerprint_of(text: bytes | None) -> int:
+    """Unsigned fingerprint of one text in UTF-8; null and blank texts have 0."""
+    hashes = shingle_hashes(text, SHINGLE)
+    if not len(hashes):
+        return 0
     counts = _byte_counts(hashes.view(np.uint8).reshape(-1, 8))
     return int(np.packbits(2 * counts > len(hashes), bitorder="little").view("<u8")[0])
 
@@ -141,6 +153,85 @@ def links(fingerprints: DataFrame, fp: str = "fp", bits: int = 2, bucket: int =
     return pairs.union(stars)
 
 
+def band_keys_of(hashes: np.ndarray) -> list[int]:
+    """A key for each band of the set's MinHash values, signed."""
+    rng = np.random.default_rng(SEED)
+    factors, summands = rng.integers(0, 1 << 64, (2, BANDS * BAND_ROWS, 1), np.uint64)
+    least = np.full(BANDS * BAND_ROWS, np.iinfo(np.uint64).max, np.uint64)
+    for at in range(0, len(hashes), 512):
+        block = (factors | np.uint64(1)) * hashes[at : at + 512] + summands
+        least = np.minimum(least, block.min(1))
+    bands = least.reshape(BANDS, BAND_ROWS)
+    keys = [xxhash.xxh64_intdigest(band.tobytes(), seed) for seed, band in enumerate(bands)]
+    return np.array(keys, np.uint64).view(np.int64).tolist()
+
+
+@F.arrow_udf(T.StructType().add("n", T.IntegerType()).add("keys", T.ArrayType(T.LongType())))
+def band_keys(texts: pa.Array) -> pa.Array:
+    """Number of distinct wide shingles, and the band keys of their set; null and blank texts have none."""
+    sets = [np.unique(shingle_hashes(t, WIDE)) for t in texts.cast(pa.large_binary()).to_pylist()]
+    keys = pa.array([band_keys_of(x) if len(x) else [] for x in sets], pa.list_(pa.int64()))
+    return pa.StructArray.from_arrays([pa.array([len(x) for x in sets], pa.int32()), keys], ["n", "keys"])
+
+
+@F.arrow_udf(T.BooleanType())
+def similar(left: pa.Array, right: pa.Array) -> pa.Array:
+    """Whether the sets of wide shingles of two texts have a Jaccard similarity of 4/5 or more."""
+    found = []
+    for a, b in zip(left.cast(pa.large_binary()).to_pylist(), right.cast(pa.large_binary()).to_pylist()):
+        a, b = np.unique(shingle_hashes(a, WIDE)), np.unique(shingle_hashes(b, WIDE))
+        both = len(np.intersect1d(a, b, assume_unique=True))
+        found.append(both > 0 and 5 * both >= 4 * (len(a) + len(b) - both))
+    return pa.array(found, pa.bool_())
+
+
+def _verified(pairs: DataFrame, docs: DataFrame, text: str) -> DataFrame:
+    """Rows of ``pairs`` (numbers ``a`` and ``b`` of texts) whose texts are similar."""
+    needed = pairs.select(F.col("a").alias("tid")).union(pairs.select("b")).distinct()
+    texts = docs.select(F.xxhash64(F.col(text)).alias("tid"), F.col(text).alias("body"))
+    texts = texts.join(needed, "tid", "left_semi").groupBy("tid").agg(F.first("body").alias("body"))
+    texts = stored(texts, "similar-texts")
+    sides = [texts.select(F.col("tid").alias(c), F.col("body").alias(f"body_{c}")) for c in "ab"]
+    both = stored(pairs.join(sides[0], "a"), "similar-left").join(sides[1], "b")
+    checked = both.select(*pairs.columns, similar("body_a", "body_b").alias("is_similar"))
+    return stored(checked.filter("is_similar").drop("is_similar"), "similar-pairs")
+
+
+def similar_links(prints: DataFrame, docs: DataFrame, text: str = "text", bucket: int = BUCKET) -> DataFrame:
+    """Links ``(a, b)`` of fingerprints whose texts have a Jaccard similarity of 4/5 or more.
+
+    ``prints`` has ``fp``, ``tid`` (the text's hash) and ``wide`` of each row. Texts that share a band's key
+    are candidates, those within two bits excepted, which :func:`links` connects. Under a key of more than
+    ``bucket`` texts, all are compared with the least one; those it is linked to are in one component, and only
+    the others are compared with all. So each pair under a key is compared or connected.
+    """
+    near = lambda a, b: distance(F.col(f"{a}.fp"), F.col(f"{b}.fp")) <= 2
+    fits = lambda a, b: 5 * F.least(f"{a}.n", f"{b}.n") >= 4 * F.greatest(f"{a}.n", f"{b}.n")
+    texts = prints.groupBy("tid").agg(F.first("fp").alias("fp"), F.first("wide").alias("wide"))
+    keys = texts.select("tid", "fp", "wide.n", F.explode("wide.keys").alias("key"))
+    keys = stored(keys, "band-keys")
+    sizes = keys.groupBy("key").agg(F.count(F.lit(1)).alias("members"), F.min(F.struct("tid", "fp", "n")).alias("least"))
+    shared = stored(keys.join(sizes.filter("members > 1"), "key"), "band-shared")
+    ends = lambda a, b: [F.col(f"{x}.{c}").alias(f"{n}{s}") for c, n in (("tid", ""), ("fp", "fp_")) for x, s in ((a, "a"), (b, "b"))]
+    small = shared.filter(F.col("members") <= bucket).drop("members", "least")
+    apart = (F.col("l.key") == F.col("r.key")) & (F.col("l.tid") < F.col("r.tid")) & ~near("l", "r") & fits("l", "r")
+    pairs = small.alias("l").join(small.alias("r"), apart).select(*ends("l", "r"))
+    crowd = shared.filter(F.col("members") > bucket)
+    away = crowd.select("key", "least", F.struct("tid", "fp", "n").alias("own")).filter(~near("least", "own"))
+    tried = away.filter(fits("least", "own")).select(*ends("least", "own")).distinct()
+    linked = _verified(stored(tried, "tried-pairs"), docs, text)
+    known = linked.select(F.col("a").alias("least_tid"), F.col("b").alias("own_tid"))
+    is_known = (F.col("least.tid") == F.col("least_tid")) & (F.col("own.tid") == F.col("own_tid"))
+    others = stored(away.join(known, is_known, "left_anti").select("key", "own.tid", "own.fp", "own.n"), "others")
+    apart = (F.col("l.key") == F.col("r.key")) & (F.col("l.tid") != F.col("r.tid")) & ~near("l", "r") & fits("l", "r")
+    rest = others.alias("l").join(crowd.select("key", "tid", "fp", "n").alias("r"), apart).select(*ends("l", "r"))
+    swap = F.col("a") > F.col("b")
+    turned = lambda x, y: F.when(swap, F.col(y)).otherwise(F.col(x))
+    rest = rest.select(*(turned(x, y).alias(x) for x, y in (("a", "b"), ("b", "a"), ("fp_a", "fp_b"), ("fp_b", "fp_a"))))
+    checked = _verified(stored(pairs.union(rest).distinct(), "similar-candidates"), docs, text)
+    return linked.union(checked).select(F.col("fp_a").alias("a"), F.col("fp_b").alias("b")).distinct()
+
+
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """``(doc_id, fp, root, component_id)`` for every row of ``docs``.
 
@@ -154,24 +245,35 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     return _grouped(stored(prints, "fingerprints"))
 
 
-def _grouped(prints: DataFrame) -> DataFrame:
-    """Add ``root`` and ``component_id`` to stored rows that have ``doc_id`` and ``fp``."""
+def _grouped(prints: DataFrame, more: DataFrame | None = None) -> DataFrame:
+    """Add ``root`` and ``component_id`` to stored rows that have ``doc_id`` and ``fp``; ``more`` has further links."""
     nodes = stored(prints.groupBy("fp").agg(F.min("doc_id").alias("least")), "nodes")
-    parts = stored(components(links(nodes)).withColumnRenamed("node", "fp"), "components")
+    found = links(nodes) if more is None else links(nodes).union(more)
+    parts = stored(components(found).withColumnRenamed("node", "fp"), "components")
     placed = nodes.join(parts, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     ids = stored(placed.groupBy("root").agg(F.min("least").alias("component_id")), "component-ids")
     placed = stored(placed.select("fp", "root"), "placed").join(ids, "root")
     return prints.join(stored(placed, "memberships"), "fp")
 
 
-def near_dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def near_dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", wide: bool = False) -> DataFrame:
     """``docs`` with one row of each component: the smallest id, nulls last, then the smallest row hash.
 
     Rows equal in all columns are told apart by nothing, so any one of them stays. All columns are kept.
+    With ``wide``, texts of a five-word Jaccard similarity of 0.8 or more are linked besides those within two bits.
     """
     row_hash = F.xxhash64(*(F.col(f"`{c}`") for c in docs.columns))
     prints = docs.select(F.col(doc_id).alias("doc_id"), simhash(F.col(text)).alias("fp"), row_hash.alias("row_hash"))
-    rows = _grouped(stored(prints, "fingerprints"))
+    if wide:
+        prints = docs.select(
+            F.col(doc_id).alias("doc_id"),
+            simhash(F.col(text)).alias("fp"),
+            row_hash.alias("row_hash"),
+            F.xxhash64(F.col(text)).alias("tid"),
+            band_keys(F.col(text)).alias("wide"),
+        )
+    prints = stored(prints, "fingerprints")
+    rows = _grouped(prints, similar_links(prints, docs, text) if wide else None)
     order = F.struct(F.col("doc_id").isNull().alias("unknown"), "doc_id", "row_hash")
     first = rows.groupBy("root").agg(F.min(order).alias("row"))
     first = stored(first.select(F.col("row.doc_id").alias("_kept_id"), F.col("row.row_hash").alias("_row_hash")).distinct(), "kept-rows")

@@ -46,3 +46,13 @@ def test_odd_and_empty_tables_pass_through(spark):
         for name, stage in p.STAGES:
             docs = stored(stage(spark, docs, sf), "t")
         assert docs.columns[-1] == "round_trip"
+
+
+def test_near_copies_go_though_their_fingerprints_lie_apart(spark):
+    words = [f"w{i * i % 9973}" for i in range(200)]
+    texts = [" ".join(words[:at] + ["other"] + words[at + 1 :]) for at in (20, 60, 100, 140)]
+    prints = [simhash.fingerprint_of(t.encode()) for t in texts]
+    assert max((a ^ b).bit_count() for a in prints for b in prints) > 2
+    docs = spark.createDataFrame([(i, t, "en", "a", len(t)) for i, t in enumerate(texts)], cases.SCHEMA)
+    assert [r["doc_id"] for r in p.remove_similar(docs).collect()] == [0]
+    assert {r["doc_id"] for r in p.mix_sources(spark, docs, "").collect()} <= {0}

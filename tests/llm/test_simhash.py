@@ -103,3 +103,37 @@ def test_one_row_of_each_group_stays(spark):
     ids = [r["doc_id"] for r in rows]
     assert 1 in ids and 2 not in ids and 3 in ids and 4 not in ids and ids.count(None) == 1
     assert q.near_dedup(cases.empty(spark)).collect() == []
+
+
+def test_wide_links_equal_brute_force_jaccard(spark):
+    rng = np.random.default_rng(5)
+    texts = []
+    for family in range(12):
+        base = [f"w{x}" for x in rng.integers(0, 5000, 120)]
+        for _ in range(8):
+            words = list(base)
+            for at in rng.integers(0, len(words), rng.integers(0, 5)):
+                words[at] = f"v{rng.integers(0, 5000)}"
+            texts.append(" ".join(words))
+    shingles = [{tuple(w[i : i + 5]) for i in range(len(w) - 4)} for w in map(str.split, texts)]
+    prints = [_fingerprint(t) for t in texts]
+    links, beyond = [], 0
+    for i in range(len(texts)):
+        for j in range(i):
+            alike = 5 * len(shingles[i] & shingles[j]) >= 4 * len(shingles[i] | shingles[j])
+            close = (prints[i] ^ prints[j]).bit_count() <= 2
+            beyond += alike and not close
+            if alike or close:
+                links.append((i, j))
+    assert beyond > 20
+    least = list(range(len(texts)))
+    for _ in texts:
+        for i, j in links:
+            least[i] = least[j] = min(least[i], least[j])
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    wanted = sorted(set(least))
+    assert sorted(r[0] for r in q.near_dedup(docs, wide=True).select("doc_id").collect()) == wanted
+    prints = docs.select("doc_id", q.simhash("text").alias("fp"), F.xxhash64("text").alias("tid"), q.band_keys("text").alias("wide"))
+    for bucket in (1, 3):
+        more = q.similar_links(prints, docs, bucket=bucket)
+        assert sorted({r[0] for r in q._grouped(prints, more).select("component_id").collect()}) == wanted
