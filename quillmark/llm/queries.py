@@ -5,10 +5,12 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import corpus_pipeline
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillmark.llm import ann, chat, katz, licenses, mixing, quality_rules, rule_ensemble, sentencepiece, simhash, url_filter
+from quillmark.llm import ann, centroids, chat, katz, licenses, merkle, mixing, packing, quality_rules, rule_ensemble
+from quillmark.llm import sentencepiece, simhash, url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -192,4 +194,106 @@ def op7_katz(spark, sf_dir):
     return katz.score_documents(_table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+@query
+def op11_packing(spark, sf_dir):
+    """All documents packed into sequences of at most 2,048 tokens."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    pieces = packing.pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"))
+    return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
+@query
+def op12_merkle(spark, sf_dir):
+    """Every document's place in the Merkle manifest, and whether its tampered form still verifies."""
+    return merkle.manifest(_table(spark, sf_dir, "documents"))
+
+
+def _merkle_sql(levels: int = 6, fanout: int = 16) -> str:
+    """Trees of up to ``fanout ** levels`` nodes: one table per level with the siblings of each node.
+
+    A finished tree's one node is carried up unchanged, without siblings. CRC-32 is worked out bit by bit.
+    """
+    field = lambda c: f"coalesce(strlen(CAST({c} AS VARCHAR)) || ':' || CAST({c} AS VARCHAR), '-')"
+    leaf = lambda text: "sha256(" + " || ".join([*map(field, ("doc_id", "source", "lang", "n_chars")), field(text)]) + ")"
+    lowered = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    tables = []
+    for name in "st":
+        for k in range(levels + 1):
+            run = f"PARTITION BY tree, idx // {fanout} ORDER BY idx ROWS BETWEEN"
+            side = lambda frame: f"CASE WHEN n > 1 THEN coalesce(string_agg(digest, '') OVER ({run} {frame}), '') ELSE '' END"
+            tables.append(f"""{name}{k} AS (
+  SELECT *, {side("UNBOUNDED PRECEDING AND 1 PRECEDING")} AS l, {side("1 FOLLOWING AND UNBOUNDED FOLLOWING")} AS r FROM {name}n{k})""")
+            tables.append(f"""{name}n{k + 1} AS (
+  SELECT tree, idx // {fanout} AS idx, (any_value(n) + {fanout - 1}) // {fanout} AS n,
+    CASE WHEN any_value(n) > 1 THEN sha256(string_agg(digest, '' ORDER BY idx)) ELSE any_value(digest) END AS digest
+  FROM {name}n{k} GROUP BY tree, idx // {fanout})""")
+        if name == "s":
+            tables.append(f"""tn0 AS (
+  SELECT 0 AS tree, tree AS source, digest, row_number() OVER (ORDER BY tree NULLS FIRST) - 1 AS idx, count(*) OVER () AS n FROM sn{levels})""")
+    up = lambda name, leaf: " ".join(
+        f"JOIN {name}{k} ON {name}{k}.tree IS NOT DISTINCT FROM {leaf}.tree AND {name}{k}.idx = {leaf}.idx // {fanout**k}"
+        for k in range(levels + 1)
+    )
+    steps = [f"{name}{k}" for name in "st" for k in range(levels + 1)]
+    kept = ", ".join(f"{x}.{c} AS {c}{i}" for i, x in enumerate(steps) for c in "lrn")
+    folds = ", ".join(
+        f"f{i + 1} AS (SELECT * EXCLUDE (cur), CASE WHEN n{i} > 1 THEN sha256(l{i} || cur || r{i}) ELSE cur END AS cur FROM f{i})"
+        for i in range(len(steps))
+    )
+    byte = "CASE WHEN i % 8 = 0 THEN ascii(digits[i // 8 + 1]) ELSE 0 END"
+    crc = f"list_reduce(list_prepend(4294967295, range(8 * length(digits))), lambda c, i: xor(xor(c, {byte}) >> 1, 3988292384 * (xor(c, {byte}) & 1)))"
+    return f"""
+WITH d AS (
+  SELECT doc_id, source AS tree, CAST(doc_id AS VARCHAR) AS digits, {leaf("text")} AS digest, {leaf(lowered)} AS lowered FROM documents),
+sn0 AS (
+  SELECT doc_id, tree, digest, CASE WHEN xor({crc}, 4294967295) % 5 = 0 THEN lowered ELSE digest END AS start,
+    row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, digest) - 1 AS idx, count(*) OVER (PARTITION BY tree) AS n FROM d),
+{", ".join(tables)},
+f0 AS (
+  SELECT x.doc_id, x.digest AS leaf, x.start AS cur, y.digest AS subroot, t{levels}.digest AS root,
+    {" || ".join(f"{x}.l || {x}.r" for x in steps)} AS proof, {kept}
+  FROM s0 AS x {up("s", "x").replace("JOIN s0 ON", "JOIN s0 AS s0 ON")}
+  JOIN t0 AS y ON y.source IS NOT DISTINCT FROM x.tree {up("t", "y")}),
+{folds}
+SELECT doc_id, leaf, subroot, root, sha256(proof) AS proof_sha256, cur AS folded_root, cur = root AS verified FROM f{len(steps)}
+"""
+
+
+ORACLES["op12_merkle"] = _merkle_sql()
+
+
+@query
+def op13_clusters(spark, sf_dir):
+    """Every vector in one of 16 clusters, after three rounds."""
+    return centroids.cluster(_table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
+
+
+def _cluster_sql(count: int = 16, rounds: int = 3, dims: int = 64) -> str:
+    distance = f"list_sum(list_transform(range(1, {dims + 1}), lambda i: (v.e[i] - c.e[i]) * (v.e[i] - c.e[i])))"
+    steps = []
+    for k in range(rounds + 1):
+        steps.append(f"""a{k} AS (
+  SELECT rid, any_value(v.vec_id) AS vec_id, any_value(v.e) AS e, arg_min(c, (d, c)) AS c, min(d) AS d
+  FROM (SELECT v.rid, v.vec_id, v.e, c.c, CAST({distance} AS BIGINT) AS d FROM v, c{k} AS c) AS v GROUP BY rid)""")
+        steps.append(f"""m{k} AS (
+  SELECT c, list(CAST(floor(total / members) AS BIGINT) - CASE WHEN CAST(floor(total / members) AS BIGINT) * members > total THEN 1 ELSE 0 END ORDER BY i) AS e
+  FROM (SELECT c, i, sum(e[i]) AS total, count(*) AS members FROM a{k}, range(1, {dims + 1}) AS r(i) GROUP BY c, i) GROUP BY c)""")
+        steps.append(f"c{k + 1} AS (SELECT c.c, coalesce(m.e, c.e) AS e FROM c{k} AS c LEFT JOIN m{k} AS m ON m.c = c.c)")
+    return f"""
+WITH v AS MATERIALIZED (
+  SELECT vec_id, row_number() OVER () AS rid, list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS e
+  FROM embeddings WHERE len(embedding) = {dims} AND list_count(embedding) = {dims} AND list_bool_and(list_transform(embedding, lambda x: isfinite(x)))),
+c0 AS MATERIALIZED (
+  SELECT CAST(row_number() OVER (ORDER BY h, e) - 1 AS INTEGER) AS c, e
+  FROM (SELECT sha256('1:' || vec_id) AS h, e FROM v ORDER BY h, e LIMIT {count})),
+{", ".join(x.replace(" AS (", " AS MATERIALIZED (", 1) for x in steps)}
+SELECT a.vec_id, a.c AS cluster, a.d AS distance, CAST(sum(a.d) OVER (PARTITION BY a.c) AS BIGINT) AS cluster_inertia,
+  CAST(sum(a.d) OVER () AS BIGINT) AS inertia, sha256(array_to_string(c.e, ',')) AS centroid_sha256
+FROM a{rounds} AS a JOIN c{rounds} AS c ON c.c = a.c
+"""
+
+
+ORACLES["op13_clusters"] = _cluster_sql()
+
+
 QUERIES["pipeline"] = corpus_pipeline.run
