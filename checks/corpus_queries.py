@@ -6,14 +6,14 @@ from pyspark.sql import functions as F
 
 from checks import sql as q
 from checks import tables as t
-from checks.registry import query
+from checks.registry import ORACLES, query
 from quillmark.functions import tokenize_ws, ttr_columns
-from quillmark.operators import corpus, dedup, labels, reshape, summaries
+from quillmark.operators import corpus, dedup, labels, reshape, sketches, summaries
 from quillmark.plans import reports
 from quillmark.plans.preparation import add_clean_texts, preprocess
 from quillmark.profiles import LATIN
-from quillmark.sources import files, streams
-from quillmark.sources.scratch import scratch_dir
+from quillmark.sources import count_store, files, streams
+from quillmark.sources.scratch import scratch_dir, stored
 
 LANGS = ["en", "de", "es", "fr"]
 
@@ -545,3 +545,71 @@ def corpus_report(spark, sf_dir):
 def explore_corpus(spark, sf_dir):
     found = reports.explore(t.processed(spark, sf_dir), scratch_dir(spark, "explore"))
     return found["ttr"].select("category_encode", _six("ttr_doc_mean"), "n_docs")
+
+
+_SKETCHED = ("short_words_ratio", "total_physical_lines", "foreign_letters_count")
+
+
+@query(
+    "sketched_quartiles",
+    f"""WITH {q.LATIN_STYLE}, long AS ({_LONG}) SELECT DISTINCT category_encode, feature, prob::DOUBLE AS prob, TRUE AS within
+        FROM long, (VALUES (0.25), (0.5), (0.75)) AS p(prob)
+        WHERE category_encode IS NOT NULL AND value IS NOT NULL AND feature IN {_SKETCHED}""",
+)
+def sketched_quartiles(spark, sf_dir):
+    """Sketches stored per subset and class, merged per class, against the exact ranks of what they give."""
+    path = scratch_dir(spark, "sketches")
+    docs = t.styled(spark, sf_dir).filter("category_encode IS NOT NULL").select("subset", "category_encode", *_SKETCHED)
+    made = sketches.quantile_sketches(docs, ["subset", "category_encode"], list(_SKETCHED))
+    found = sketches.merged_quantiles(stored(made, path), ["category_encode"])
+    values = docs.unpivot(["category_encode"], list(_SKETCHED), "feature", "x").filter("x IS NOT NULL")
+    joined = values.join(found, ["category_encode", "feature"])
+    shares = joined.groupBy("category_encode", "feature", "prob").agg(
+        F.avg((F.col("x") < F.col("value")).cast("int")).alias("below"), F.avg((F.col("x") <= F.col("value")).cast("int")).alias("up_to")
+    )
+    room = 3 * sketches.RANK_ERROR
+    within = (F.col("below") - room <= F.col("prob")) & (F.col("prob") <= F.col("up_to") + room)
+    return shares.select("category_encode", "feature", F.col("prob").cast("double"), within.alias("within"))
+
+
+@query(
+    "sketched_types",
+    f"""WITH {_CLASS_COUNTS}, sides AS (SELECT kind, term, bool_or(class = 'HUMAN') AS h, bool_or(class = 'AI') AS g FROM counts GROUP BY 1, 2)
+        SELECT kind, count(*) FILTER (h) AS n_human, count(*) FILTER (g) AS n_ai, count(*) FILTER (h OR g) AS n_both,
+            count(*) FILTER (h AND g) AS n_shared, TRUE AS within FROM sides GROUP BY 1""",
+)
+def sketched_types(spark, sf_dir):
+    """Distinct words and bigrams per class, in both and shared: exact numbers, and whether the merged sketches are within 5 % of n_both."""
+    terms = stored(_terms(spark, sf_dir).select("kind", "term", "category_encode"), scratch_dir(spark, "terms"))
+    made = sketches.type_sketches(terms.withColumn("part", F.pmod(F.xxhash64("term"), F.lit(7))), ["part", "kind", "category_encode"])
+    guess = sketches.class_types(stored(made, scratch_dir(spark, "type-sketches")), ["kind"])
+    human, ai = F.col("n_human") > 0, F.col("n_ai") > 0
+    wide = corpus.term_counts_wide(terms)
+    exact = wide.groupBy("kind").agg(
+        *(F.count_if(c).alias(n) for n, c in (("n_human", human), ("n_ai", ai), ("n_both", human | ai), ("n_shared", human & ai)))
+    )
+    names = ("n_human", "n_ai", "n_both", "n_shared")
+    joined = exact.join(guess.select("kind", *(F.col(n).alias(f"_{n}") for n in names)), "kind")
+    near = [F.abs(F.col(n) - F.col(f"_{n}")) <= 0.05 * F.col("n_both") for n in names]
+    return joined.select("kind", *names, (near[0] & near[1] & near[2] & near[3]).alias("within"))
+
+
+@query("frequent_bigrams", _top_sql("BIGRAM", 20))
+def frequent_bigrams(spark, sf_dir):
+    """The rows of top_bigrams_by_class, from candidates of a sketch that are counted exactly."""
+    terms = _terms(spark, sf_dir).filter(F.col("kind") == corpus.BIGRAM).select("term", "category_encode")
+    top = sketches.frequent_terms(stored(terms, scratch_dir(spark, "bigrams")))
+    return top.select(F.lit(corpus.BIGRAM).alias("kind"), "class", "term", "n", "rank")
+
+
+@query("merge_stored_counts", ORACLES["merge_counts"])
+def merge_stored_counts(spark, sf_dir):
+    """Counts of two increments, each stored as a bucketed table, merged bucket by bucket."""
+    terms = corpus.explode_terms(t.processed(spark, sf_dir), keep=("subset",)).withColumn("late", F.crc32("subset") % 2)
+    root, names = scratch_dir(spark, "increments"), []
+    for late in (0, 1):
+        counts = corpus.term_counts(terms.filter(F.coalesce("late", F.lit(0)) == late))
+        names.append(f"increment_{late}_{root[-32:]}")
+        rows = counts.select(F.col("kind").alias("type"), F.col("term").alias("key"), F.col("n").alias("count"))
+        count_store.save_counts(rows, names[-1], buckets=8, path=f"{root}/{late}")
+    return count_store.merge_stored(spark, names, 8, f"{root}/merged")

@@ -485,3 +485,33 @@ def stream_progress(spark, sf_dir):
     summary = scoring.progress_summary(scoring.stream_progress(spark, f"{root}/progress"))
     timed = (F.col("first_batch_ms") > 0) & (F.col("rows_per_second") > 0)
     return summary.select("n_batches", "n_rows", timed.alias("timed"))
+
+
+@query(
+    "stream_metrics",
+    """SELECT 4 AS n_batches, count(*) AS n_rows, count_if(text IS NULL) AS without_text, TRUE AS classes_equal, TRUE AS matrix_equal, count(*) AS n_records
+        FROM conversations""",
+)
+def stream_metrics(spark, sf_dir):
+    """Metrics observed in every batch against the same counts of one batch over all messages."""
+    root, model, messages = scratch_dir(spark, "stream-metrics"), _pipeline(spark, sf_dir), t.messages(spark, sf_dir)
+    _drop(messages, f"{root}/in")
+    scored = scoring.stream_score(streams.stream_json_files(spark, f"{root}/in", max_files=1), model, LATIN)
+    scoring.run_stream(
+        scored, f"{root}/out", f"{root}/checkpoint", every=None, manifest=f"{root}/manifest", metrics=scoring.prediction_metrics()
+    )
+    batch = reshape.prediction_view(model.transform(scoring.stream_features(messages, LATIN)))
+    wanted = batch.agg(*(c.alias(n) for n, c in scoring.prediction_metrics().items())).first().asDict()
+    sums = scoring.listed_metrics(spark, f"{root}/manifest").groupBy("metric").agg(F.sum("n").alias("n"))
+    found = sums.groupBy().agg(F.map_from_entries(F.collect_list(F.struct("metric", "n"))).alias("n"))  # a dozen metrics
+    same = lambda names: F.forall(F.array(*(F.col("n")[c] == wanted[c] for c in names)), lambda x: x)
+    last = scoring.running_confusion(spark, f"{root}/manifest").groupBy("label", "predicted").agg(F.max_by("n", "batch_id").alias("n"))
+    matrix = {f"label_{r['label']}_predicted_{r['predicted']}": r["n"] for r in last.collect()}
+    return found.select(
+        F.lit(streams.listed_batches(spark, f"{root}/manifest").count()).alias("n_batches"),
+        F.col("n")["rows"].alias("n_rows"),
+        F.col("n")["without_text"].alias("without_text"),
+        same(["predicted_0", "predicted_1"]).alias("classes_equal"),
+        F.lit(matrix == {c: n for c, n in wanted.items() if c.startswith("label_")}).alias("matrix_equal"),
+        F.lit(streams.read_listed(spark, f"{root}/manifest", batch.schema).count()).alias("n_records"),
+    )

@@ -3,13 +3,16 @@
 from __future__ import annotations
 
 import threading
+import time
+import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 MESSAGE_SCHEMA = "text string, true_label int"
-PROGRESS_SCHEMA = "run string, batch_id long, rows long, duration_ms long, at string"
+MANIFEST_SCHEMA = "id string, batch_id long, path string, at double, metrics map<string, long>"
+PROGRESS_SCHEMA = "id string, run string, batch_id long, rows long, duration_ms long, at string"
 
 
 def stream_json_files(spark: SparkSession, directory: str, max_files: int = 1) -> DataFrame:
@@ -40,37 +43,43 @@ def _trigger(every: str | None) -> dict:
 
 
 class ProgressLog(StreamingQueryListener):
-    """Writes the progress of every batch of one checkpoint's query as JSON lines, however many there are.
+    """Writes the progress of every batch of one query as JSON lines, as soon as its event comes.
 
-    Spark itself remembers the latest hundred. A listener hears all queries of its session, so rows carry
-    the query's run. They are written when ``every`` are there, and by :meth:`finish`.
+    Spark itself remembers the latest hundred. A listener hears all queries of its session: events of
+    others are left out by the id that the query keeps in its checkpoint. Those that come before
+    :meth:`follow` names the id wait for it.
     """
 
-    def __init__(self, spark: SparkSession, path: str, every: int = 500):
-        self.spark, self.path, self.every = spark, path, every
-        self.rows, self.ended, self.changed = [], set(), threading.Condition()
+    def __init__(self, spark: SparkSession, path: str):
+        self.spark, self.path, self.id = spark, path, None
+        self.waiting, self.ended, self.changed = [], set(), threading.Condition()
 
-    def flush(self, run: str | None = None) -> None:
-        rows, self.rows = self.rows, []
-        mine = [r for r in rows if run is None or r[0] == run]
-        if mine:
-            self.spark.createDataFrame(mine, PROGRESS_SCHEMA).coalesce(1).write.mode("append").json(self.path)
+    def follow(self, query: StreamingQuery) -> None:
+        with self.changed:
+            self.id = str(query.id)
+            self._write()
+
+    def _write(self) -> None:
+        rows, self.waiting = [r for r in self.waiting if r[0] == self.id], []
+        if rows:
+            self.spark.createDataFrame(rows, PROGRESS_SCHEMA).coalesce(1).write.mode("append").json(self.path)
 
     def finish(self, query: StreamingQuery, seconds: float = 60) -> None:
-        """Wait for the events of an ended query, which come after its end, and write what is left."""
-        run = str(query.runId)
+        """Wait for the events of an ended query, which come after its end."""
         with self.changed:
-            self.changed.wait_for(lambda: run in self.ended, seconds)
-        self.flush(run)
+            self.changed.wait_for(lambda: str(query.runId) in self.ended, seconds)
 
     def onQueryStarted(self, event) -> None:
         pass
 
     def onQueryProgress(self, event) -> None:
         p = event.progress
-        self.rows.append((str(p.runId), p.batchId, p.numInputRows, int(p.durationMs.get("triggerExecution", 0)), p.timestamp))
-        if len(self.rows) >= self.every:
-            self.flush()
+        row = (str(p.id), str(p.runId), p.batchId, p.numInputRows, int(p.durationMs.get("triggerExecution", 0)), p.timestamp)
+        with self.changed:
+            if self.id in (None, row[0]):
+                self.waiting.append(row)
+            if self.id:
+                self._write()
 
     def onQueryIdle(self, event) -> None:
         pass
@@ -118,3 +127,51 @@ def write_with_monitor(
     return (
         df.writeStream.foreachBatch(both).option("checkpointLocation", checkpoint).trigger(**_trigger(every)).start()
     )
+
+
+def write_listed(
+    df: DataFrame,
+    out: str,
+    manifest: str,
+    checkpoint: str,
+    every: str | None = None,
+    metrics: dict[str, Column] | None = None,
+    monitor=None,
+    rows: int = 10,
+) -> StreamingQuery:
+    """Write each batch to a new folder and then list it, with its metrics, in a manifest that is only added to.
+
+    ``metrics`` are aggregates of a batch (all counts), observed while it is written, so that they cost no other pass;
+    ``rows`` is always among them. A batch is listed before its checkpoint commits it: a driver that dies in
+    between repeats it, and readers take the latest listing of each batch, whose folder is complete. What a dying
+    or repeated batch leaves half-written is never listed, and listed folders are never written again.
+    """
+    wanted = {"rows": F.count(F.lit(1)), **(metrics or {})}
+
+    def both(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        own = spark.read.schema("id string").json(f"{checkpoint}/metadata").first()["id"]
+        path = f"{out}/run={own}/batch={batch_id}/attempt={uuid.uuid4().hex}"
+        seen = Observation()
+        batch.observe(seen, *(c.cast("long").alias(n) for n, c in wanted.items())).write.parquet(path)
+        counts = {n: int(v or 0) for n, v in seen.get.items()}
+        listed = spark.createDataFrame([(own, batch_id, path, time.time(), counts)], MANIFEST_SCHEMA)
+        listed.coalesce(1).write.mode("append").json(manifest)
+        if monitor:
+            monitor(spark.read.schema(batch.schema).parquet(path).limit(rows), batch_id)
+
+    return df.writeStream.foreachBatch(both).option("checkpointLocation", checkpoint).trigger(**_trigger(every)).start()
+
+
+def listed_batches(spark: SparkSession, manifest: str, id: str | None = None) -> DataFrame:
+    """``(id, batch_id, path, metrics)``: the latest listing of each batch, of one query or of all."""
+    rows = spark.read.schema(MANIFEST_SCHEMA).json(manifest)
+    rows = rows if id is None else rows.filter(F.col("id") == id)
+    last = F.max_by(F.struct("path", "metrics"), F.struct("at", "path")).alias("last")
+    return rows.groupBy("id", "batch_id").agg(last).select("id", "batch_id", "last.*")
+
+
+def read_listed(spark: SparkSession, manifest: str, schema) -> DataFrame:
+    """Rows of the listed batches and of no other folder. The driver sees one path per batch."""
+    paths = [r["path"] for r in listed_batches(spark, manifest).collect()]
+    return spark.read.schema(schema).parquet(*paths) if paths else spark.createDataFrame([], schema)

@@ -3,14 +3,15 @@
 from __future__ import annotations
 
 from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.window import Window
 
 from quillmark.operators.reshape import prediction_view
 from quillmark.plans.preparation import add_style
 from quillmark.profiles import ARABIC, LanguageProfile
-from quillmark.sources.streams import PROGRESS_SCHEMA, ProgressLog, write_predictions, write_with_monitor
+from quillmark.sources.streams import PROGRESS_SCHEMA, ProgressLog, listed_batches, write_listed, write_predictions, write_with_monitor
 
 
 def stream_features(df: DataFrame, profile: LanguageProfile = ARABIC) -> DataFrame:
@@ -32,20 +33,26 @@ def run_stream(
     monitor=None,
     show: bool = False,
     progress: str | None = None,
+    manifest: str | None = None,
+    metrics: dict[str, Column] | None = None,
 ) -> StreamingQuery:
     """Write a scored stream, for ``run_seconds`` or, without it, until it ends.
 
     ``every=None`` works off what is there. ``show`` or ``monitor`` adds a look at each batch.
     A run that starts again with its checkpoint goes on where it stopped. ``progress`` is a folder to which
-    the progress of every batch is appended.
+    the progress of every batch is appended. With ``manifest``, batches are listed there with their ``metrics``.
     """
     log = ProgressLog(df.sparkSession, progress) if progress else None
     if log:
         df.sparkSession.streams.addListener(log)
-    if show or monitor:
+    if manifest:
+        query = write_listed(df, out, manifest, checkpoint, every, metrics, monitor)
+    elif show or monitor:
         query = write_with_monitor(df, out, checkpoint, every, monitor)
     else:
         query = write_predictions(df, out, checkpoint, every)
+    if log:
+        log.follow(query)
     try:
         ended = query.awaitTermination(run_seconds) if run_seconds else query.awaitTermination()
         if run_seconds and not ended:
@@ -62,14 +69,50 @@ def stream_count(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path).agg(F.count(F.lit(1)).alias("n_records"))
 
 
-def stream_progress(spark: SparkSession, path: str) -> DataFrame:
+def prediction_metrics(label: str = "true_label", predicted: str = "predicted_label") -> dict[str, Column]:
+    """Counts of a scored batch: messages without a text (unreadable JSON among them), predictions, and the confusion matrix."""
+    no_text = {"without_text": F.count_if(F.col("text_preview").isNull())}
+    classes = {f"predicted_{p}": F.count_if(F.col(predicted) == p) for p in (0, 1)}
+    pairs = {f"label_{t}_predicted_{p}": F.count_if((F.col(label) == t) & (F.col(predicted) == p)) for t in (0, 1) for p in (0, 1)}
+    return {**no_text, **classes, **pairs}
+
+
+def listed_metrics(spark: SparkSession, manifest: str, id: str | None = None) -> DataFrame:
+    """``(batch_id, metric, n)`` of every listed batch, exact after restarts: a repeated batch counts once."""
+    return listed_batches(spark, manifest, id).select("batch_id", F.explode("metrics").alias("metric", "n"))
+
+
+def listed_count(spark: SparkSession, manifest: str) -> DataFrame:
+    """Records in a listed sink, without reading it."""
+    rows = listed_batches(spark, manifest).agg(F.coalesce(F.sum(F.col("metrics")["rows"]), F.lit(0)).alias("n_records"))
+    return rows
+
+
+def running_confusion(spark: SparkSession, manifest: str) -> DataFrame:
+    """``(batch_id, label, predicted, n)``: the confusion matrix of all batches up to each one."""
+    parts = listed_metrics(spark, manifest).select(
+        "batch_id", F.regexp_extract("metric", r"^label_(\d)_predicted_(\d)$", 1).alias("label"),
+        F.regexp_extract("metric", r"^label_(\d)_predicted_(\d)$", 2).alias("predicted"), "n",
+    ).filter("label <> ''")
+    so_far = Window.partitionBy("label", "predicted").orderBy("batch_id")
+    return parts.select("batch_id", F.col("label").cast("int"), F.col("predicted").cast("int"), F.sum("n").over(so_far).alias("n"))
+
+
+def stream_progress(spark: SparkSession, path: str, id: str | None = None, manifest: str | None = None) -> DataFrame:
     """``(batch_id, rows, duration_ms)`` of every batch with rows that runs of one checkpoint logged under ``path``.
 
-    A batch that ran again after a failure counts once, with its latest run.
+    ``id`` is the query's, for a folder that several write to. A batch that ran again after a failure counts once,
+    with its latest run. A driver that dies between a batch and its event loses the time; with ``manifest`` such a
+    batch is there all the same, with its rows and without a time.
     """
     logged = spark.read.schema(PROGRESS_SCHEMA).json(path).filter(F.col("rows") > 0)
+    logged = logged if id is None else logged.filter(F.col("id") == id)
     latest = logged.groupBy("batch_id").agg(F.max_by(F.struct("rows", "duration_ms"), "at").alias("last"))
-    return latest.select("batch_id", "last.rows", "last.duration_ms")
+    found = latest.select("batch_id", "last.rows", "last.duration_ms")
+    if manifest is None:
+        return found
+    listed = listed_batches(spark, manifest, id).select("batch_id", F.col("metrics")["rows"].alias("listed")).filter("listed > 0")
+    return listed.join(found, "batch_id", "full").select("batch_id", F.coalesce("listed", "rows").alias("rows"), "duration_ms")
 
 
 def progress_summary(progress: DataFrame) -> DataFrame:

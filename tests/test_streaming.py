@@ -100,3 +100,79 @@ def test_scratch_is_under_the_folder_the_session_names(spark):
     root = spark.conf.get("spark.checkpoint.dir")
     first, second = scratch_dir(spark, "x"), scratch_dir(spark, "x")
     assert first.startswith(root) and first != second
+
+
+def _numbers(spark, path, files, first=0):
+    rows = spark.range(first, first + 3 * files).selectExpr("CAST(id AS string) AS text", "CAST(id % 2 AS int) AS true_label", "id")
+    rows.repartitionByRange(files, "id").drop("id").write.mode("append").json(path)
+
+
+def _scored(spark, path):
+    from pyspark.sql import functions as F
+
+    read = streams.stream_json_files(spark, path, 1)
+    return read.select(F.col("text").alias("text_preview"), "true_label", (F.length("text") % 2).alias("predicted_label"))
+
+
+def test_progress_of_two_streams_is_kept_apart(spark):
+    root = scratch_dir(spark, "two-streams")
+    _numbers(spark, f"{root}/a", 6)
+    _numbers(spark, f"{root}/b", 3)
+    log = streams.ProgressLog(spark, f"{root}/log")
+    spark.streams.addListener(log)
+    try:
+        ours = streams.write_predictions(_scored(spark, f"{root}/a"), f"{root}/out-a", f"{root}/cp-a")
+        log.follow(ours)
+        other = streams.write_predictions(_scored(spark, f"{root}/b"), f"{root}/out-b", f"{root}/cp-b")
+        ours.awaitTermination()
+        other.awaitTermination()
+        log.finish(ours)
+    finally:
+        spark.streams.removeListener(log)
+    rows = spark.read.schema(streams.PROGRESS_SCHEMA).json(f"{root}/log").collect()
+    assert {r["id"] for r in rows} == {str(ours.id)}
+    summary = scoring.progress_summary(scoring.stream_progress(spark, f"{root}/log", str(ours.id))).first()
+    assert (summary["n_batches"], summary["n_rows"]) == (6, 18)
+
+
+def test_listed_batches_are_exact_after_a_batch_that_dies_before_its_commit(spark):
+    root = scratch_dir(spark, "listed")
+    _numbers(spark, f"{root}/in", 3)
+    spark.createDataFrame([("not json",)], "value string").coalesce(1).write.mode("append").text(f"{root}/in")
+    died = []
+
+    def die_once(batch, batch_id):
+        if batch_id == 1 and not died:
+            died.append(batch.count())
+            raise RuntimeError("the driver dies here")
+
+    run = lambda monitor: streams.write_listed(
+        _scored(spark, f"{root}/in"), f"{root}/out", f"{root}/manifest", f"{root}/cp", None, scoring.prediction_metrics(), monitor
+    )
+    with pytest.raises(Exception, match="dies here"):
+        run(die_once).awaitTermination()
+    run(None).awaitTermination()
+    _numbers(spark, f"{root}/in", 2, first=100)
+    run(None).awaitTermination()
+    assert len(died) == 1 and spark.read.schema(streams.MANIFEST_SCHEMA).json(f"{root}/manifest").count() == 7
+    batches = streams.listed_batches(spark, f"{root}/manifest").collect()
+    assert sorted(b["batch_id"] for b in batches) == [0, 1, 2, 3, 4, 5]
+    sums = {r["metric"]: r["n"] for r in scoring.listed_metrics(spark, f"{root}/manifest").groupBy("metric").sum("n").toDF("metric", "n").collect()}
+    assert (sums["rows"], sums["without_text"], sums["predicted_1"] + sums["predicted_0"]) == (16, 1, 15)
+    assert scoring.listed_count(spark, f"{root}/manifest").first()[0] == 16
+    rows = streams.read_listed(spark, f"{root}/manifest", "text_preview string, true_label int, predicted_label int")
+    assert rows.count() == 16 and rows.distinct().count() == 16
+    assert spark.read.parquet(f"{root}/out").count() > 16  # the dead attempt's folder is there, unlisted
+    last = {(r["label"], r["predicted"]): r["n"] for r in scoring.running_confusion(spark, f"{root}/manifest").orderBy("batch_id").collect()}
+    truth = rows.dropna().groupBy("true_label", "predicted_label").count().collect()
+    assert {k: v for k, v in last.items() if v} == {(r[0], r[1]): r[2] for r in truth}
+
+
+def test_progress_has_batches_whose_event_was_lost(spark):
+    root = scratch_dir(spark, "lost")
+    _numbers(spark, f"{root}/in", 3)
+    scoring.run_stream(_scored(spark, f"{root}/in"), f"{root}/out", f"{root}/cp", every=None, progress=f"{root}/log", manifest=f"{root}/manifest")
+    kept = spark.read.schema(streams.PROGRESS_SCHEMA).json(f"{root}/log").filter("batch_id <> 1")
+    kept.write.json(f"{root}/rest")
+    rows = {r["batch_id"]: (r["rows"], r["duration_ms"]) for r in scoring.stream_progress(spark, f"{root}/rest", manifest=f"{root}/manifest").collect()}
+    assert {k: v[0] for k, v in rows.items()} == {0: 3, 1: 3, 2: 3} and rows[1][1] is None and rows[0][1] > 0
