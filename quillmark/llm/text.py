@@ -34,3 +34,19 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     path = scratch_dir(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def packed(docs: DataFrame, *replaced: str, **needed: str) -> DataFrame:
+    """The caller's columns in one struct, ``_row``, beside the needed ones under names of the operator's own.
+
+    Whatever an operator adds can then neither overwrite nor meet a column of the caller's. Columns named like
+    one of ``replaced``, the results, are left out. :func:`unpacked` brings the others back.
+    """
+    gone = {r.lower() for r in replaced}
+    kept = [F.col(f"`{c}`") for c in docs.columns if c.lower() not in gone]
+    return docs.select(F.struct(*kept).alias("_row"), *(F.col(f"`{c}`").alias(n) for n, c in needed.items()))
+
+
+def unpacked(rows: DataFrame, *results) -> DataFrame:
+    """The caller's columns, then the results."""
+    return rows.select("_row.*", *results)

@@ -8,6 +8,8 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quillmark.llm.text import packed, unpacked
+
 #: (verdict, host, path): a rule fits its host, all subdomains and all paths that start with its path.
 RULES = (
     ("block", "net", "/"),
@@ -18,21 +20,23 @@ RULES = (
 
 #: The small labelled table: words that hosts or paths of unwanted and of ordinary pages are made of.
 UNWANTED = (
-    "adult-x xxx-video hot-girls sex-cam porn-hub nude-pics live-escort casino-win online-casino slot-jackpot "
-    "poker-bonus free-bets betting-tips lucky-spin cheap-pills buy-viagra pharma-deal diet-pills weight-loss "
-    "cheap-meds ads-track ad-click popup-ads track-pixel banner-ads spam-farm link-farm seo-spam spam-blog "
-    "free-money fast-cash payday-loan crypto-giveaway win-prize free-download warez-crack serial-keygen "
-    "torrent-movies replica-watch cheap-bags ads-network track-ads ad-server click-ads casino-bets"
+    "xxx-video hot-girls sex-cam porn-hub nude-pics live-escort adult-chat adult-movies casino-royal online-casino "
+    "slot-jackpot poker-bonus free-spins sports-betting betting-tips lucky-spin diet-pills buy-viagra pharma-deal "
+    "weight-loss cheap-meds pills-online ad-click popup-ads track-pixel banner-ads ads-server tracking-click "
+    "link-farm seo-spam spam-blog spammer-mail free-money fast-cash payday-loan crypto-giveaway win-prize "
+    "winning-lotto bets-online free-download warez-crack serial-keygen torrent-movies replica-watch cheap-bags cheap-rolex"
 ).split()
 ORDINARY = (
     "daily-news city-library open-science python-docs linux-kernel wiki-pages history-museum school-board "
     "university-press garden-club weather-report train-times recipe-book travel-notes music-review film-review "
     "book-shop health-service law-journal math-forum code-review photo-album local-council art-gallery "
     "bird-watch chess-club astronomy-today climate-data open-maps language-school nature-trails old-letters "
-    "thern tionon ethan lesing anden verein queles menta retion ingth edhe schen ouvre cion ersta blely "
-    "northeast-theatre the-third-path thirty-three then-and-there earth-and-thread smith-thomas withthat "
-    "thereand nothing-other heath-thatch faith-thesis this-then thethe another-north theory-then lengthy "
-    "north-sea harbour-town river-valley mountain-hut green-energy public-radio family-tree word-origins"
+    "north-sea harbour-town river-valley mountain-hut green-energy public-radio family-tree word-origins "
+    "the-theatre southern-times internet-archive information-desk education-station gesellschaft handwerk-verein "
+    "allemagne-tourisme bibliotheque maison-culture universidad-nacional entre-lineas montagne-sentier lectura-abierta "
+    "growth-method earth-month northern-youth truth-society other-thoughts smith-brothers fifth-street the-fourth-estate "
+    "kindergarten forschung-heute zeitung-archiv rathaus-stadt theater-probe commune-mairie histoire-moderne recherche-sante "
+    "revista-ciencia biblioteca-ciudad estudios-sociales viajes-montes weekly-letter community-choir science-teaching"
 ).split()
 HOSTS = ("{0}.example.com", "www.{0}.example.org", "blog.{0}.example.net", "m.{0}.example.com")
 PATHS = ("/en/12", "/fr/345.html", "/de/6789/", "/es/41", "", "/")
@@ -108,22 +112,12 @@ def filter_urls(pages: DataFrame, model=None, rules=RULES, url: str = "url", thr
     Columns named like a result are replaced; repeated rows get equal results; no row is lost.
     """
     model = model or train_url_model(labelled_urls(pages.sparkSession))
-    host, path = host_of(F.col(url)), path_of(F.col(url))
     names = [n for n in ("host", "path", "rule", "score", "verdict") if n.lower() != url.lower()]
-    parts = pages.withColumns({"_url_host": host, "_url_path": path})
-    rule, decided = matching_rule(F.col("_url_host"), F.col("_url_path"), rules)
-    shown = with_features(parts, "_url_host", "_url_path").withColumns({"_url_rule": rule, "_url_decided": decided})
-    shown = shown.drop(*names)
-    ours = [c for c in shown.columns if not c.startswith("_url_")]
-    narrow = model.setFeaturesCol("_url_features").setPredictionCol("_url_p").setProbabilityCol("_url_prob")
-    scored = narrow.setRawPredictionCol("_url_raw").transform(shown)
+    rows = packed(pages, *names, url=url).withColumns({"host": host_of(F.col("url")), "path": path_of(F.col("url"))})
+    rule, decided = matching_rule(F.col("host"), F.col("path"), rules)
+    shown = with_features(rows, "host", "path").withColumns({"rule": rule, "decided": decided})
+    named = model.setFeaturesCol("_url_features").setPredictionCol("_url_p").setProbabilityCol("_url_prob")
     score = vector_to_array("_url_prob")[1]
-    by_model = F.when(score >= threshold, F.lit("block")).otherwise(F.lit("allow"))
-    return scored.select(
-        *[F.col(f"`{c}`") for c in ours],
-        F.col("_url_host").alias("host"),
-        F.col("_url_path").alias("path"),
-        F.col("_url_rule").alias("rule"),
-        score.alias("score"),
-        F.coalesce("_url_decided", by_model).alias("verdict"),
-    )
+    scored = named.setRawPredictionCol("_url_raw").transform(shown).withColumn("score", score)
+    by_model = F.when(F.col("score") >= threshold, F.lit("block")).otherwise(F.lit("allow"))
+    return unpacked(scored, "host", "path", "rule", "score", F.coalesce("decided", by_model).alias("verdict"))

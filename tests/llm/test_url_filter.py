@@ -55,3 +55,33 @@ def test_held_out_accuracy(spark):
     assert right / judged.count() > 0.6
     seen = q.filter_urls(rows, q.train_url_model(rows.drop("word")), rules=())
     assert seen.filter((F.col("verdict") == "block") == (F.col("label") == 1)).count() == seen.count()
+
+
+def test_unseen_words_are_judged_right_and_scores_equal_plain_python(spark):
+    import math
+
+    from pyspark.ml.feature import HashingTF
+
+    unseen = "casino-win free-bets ads-track cheap-pills spam-farm poker-spin bets-tips".split()
+    assert not set(unseen) & set(q.UNWANTED)
+    plain = "thern-tionon anden-verein library-card mountain-trail science-weekly family-recipes stadt-theater".split()
+    assert not set(plain) & set(q.ORDINARY)
+    rows = [(f"https://{w}.example.org/es/{i}", w in unseen) for i, w in enumerate([*unseen, *plain])]
+    model = q.train_url_model(q.labelled_urls(spark))
+    judged = q.filter_urls(spark.createDataFrame(rows, "url string, unwanted boolean"), model).collect()
+    right = sum((r["verdict"] == "block") == r["unwanted"] for r in judged if r["rule"] is None)
+    assert right >= 0.85 * len(judged)
+    hashing, weights, intercept = HashingTF(numFeatures=1 << 16), model.coefficients.toArray(), model.intercept
+    for r in judged[::3]:
+        grams = set()
+        for mark, text in (("h:", r["host"]), ("p:", r["path"])):
+            text = f"^{text}$"
+            grams |= {mark + text[i : i + n] for n in (3, 4, 5) for i in range(len(text) - n + 1)}
+        margin = intercept + sum(weights[i] for i in {hashing.indexOf(g) for g in grams})
+        assert abs(r["score"] - 1 / (1 + math.exp(-margin))) < 1e-9
+
+
+def test_columns_of_the_caller_stay(spark):
+    df = spark.createDataFrame([("https://a.example.org/es/1", "mine", "mine", "mine")], "url string, _url_note string, _url_features string, decided string")
+    row = q.filter_urls(df).first()
+    assert (row["_url_note"], row["_url_features"], row["decided"]) == ("mine",) * 3
