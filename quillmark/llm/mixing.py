@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quillmark.llm.text import count_words, stored
+from quillmark.llm.text import count_words, packed, stored, unpacked
 
 HASH_BITS, LEVEL_BITS, LEVELS = 60, 12, 2
 RESULTS = ("size", "source_size", "target", "taken", "copies")
@@ -128,9 +128,9 @@ def mix(
     in id and text share a hash and are taken or left together. A source of no words has target 0.
     Columns named like a result are replaced. An empty table gives an empty result.
     """
-    rows = measured(docs, doc_id, text)
-    narrow = stored(rows.select(F.col(source).alias("source"), "size", "_mix_hash"), "mix-sizes")
-    return apply_mix(rows, mix_plan(narrow, "source", weights, max_repeats), source)
+    rows = measured(packed(docs, *RESULTS, doc_id=doc_id, text=text, source=source))
+    narrow = stored(rows.select("source", "size", "_mix_hash"), "mix-sizes")
+    return unpacked(apply_mix(rows, mix_plan(narrow, "source", weights, max_repeats)), *RESULTS)
 
 
 def mix_sizes(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), max_repeats: int = 3) -> DataFrame:

@@ -17,7 +17,7 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quillmark.llm.text import NOT_BLANK, blank_words, stored
+from quillmark.llm.text import NOT_BLANK, blank_words, packed, stored, unpacked
 
 STATISTICS = (
     "log_words", "word_length", "long_words", "distinct_words", "repeated_neighbours", "symbols", "bars", "exclamations",
@@ -174,11 +174,7 @@ def classify(
     learnt_from = docs if examples is None else examples
     rows = stored(training_rows(learnt_from, labels, doc_id, text, label, folds, bound), "rule-training")
     ensemble = fit_rules(rows)
-    kept = docs.drop("held_out", "score", "predicted")
-    scored = with_statistics(kept, text).withColumn("score", ensemble.score()).drop("_stats")
-    return scored.withColumns(
-        {
-            "held_out": remainder(F.col(doc_id), folds) == 0,
-            "predicted": F.when(F.col("score") >= threshold, 1).otherwise(0),
-        }
-    )
+    rows = with_statistics(packed(docs, "held_out", "score", "predicted", doc_id=doc_id, text=text))
+    scored = rows.withColumn("score", ensemble.score())
+    held_out = (remainder(F.col("doc_id"), folds) == 0).alias("held_out")
+    return unpacked(scored, "score", held_out, F.when(F.col("score") >= threshold, 1).otherwise(0).alias("predicted"))

@@ -13,6 +13,7 @@ whose sets of five-word shingles have a Jaccard similarity of 0.8 or more (see :
 
 from __future__ import annotations
 
+from functools import reduce
 from itertools import combinations
 
 import numpy as np
@@ -23,7 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quillmark.llm.components import components
-from quillmark.llm.text import stored
+from quillmark.llm.text import packed, stored, unpacked
 
 SHINGLE = 3
 SEED = 42
@@ -32,6 +33,9 @@ SEGMENTS = ((0, 22), (22, 21), (43, 21))  # first bit and width
 BUCKET = 48  # fingerprints under one key that are compared in pairs
 WIDE = 5  # words in a shingle of the similarity links, which ask for a Jaccard similarity of 4/5
 BANDS, BAND_ROWS = 25, 5  # a pair at 4/5 shares no band with a probability of (1 - 0.8**5)**25, 5 in 100,000
+FURTHER_BANDS = 24  # keys of each later level, whose bands are twice as long as the last one's
+WIDE_BUCKET = 16  # texts under one band's key that are compared in pairs
+SKETCH_APART = 27  # of 125 sketch bits: a pair at 4/5 differs in 12.5 on average, deviation 3.4; beyond 27 once in 100,000
 
 
 def shingle_hashes(text: bytes | None, size: int) -> np.ndarray:
@@ -153,83 +157,132 @@ def links(fingerprints: DataFrame, fp: str = "fp", bits: int = 2, bucket: int =
     return pairs.union(stars)
 
 
-def band_keys_of(hashes: np.ndarray) -> list[int]:
-    """A key for each band of the set's MinHash values, signed."""
-    rng = np.random.default_rng(SEED)
-    factors, summands = rng.integers(0, 1 << 64, (2, BANDS * BAND_ROWS, 1), np.uint64)
-    least = np.full(BANDS * BAND_ROWS, np.iinfo(np.uint64).max, np.uint64)
+def min_hashes(hashes: np.ndarray, count: int, seed: int) -> np.ndarray:
+    """``count`` MinHash values of a set that is not empty."""
+    rng = np.random.default_rng(seed)
+    factors, summands = rng.integers(0, 1 << 64, (2, count, 1), np.uint64)
+    least = np.full(count, np.iinfo(np.uint64).max, np.uint64)
     for at in range(0, len(hashes), 512):
         block = (factors | np.uint64(1)) * hashes[at : at + 512] + summands
         least = np.minimum(least, block.min(1))
-    bands = least.reshape(BANDS, BAND_ROWS)
-    keys = [xxhash.xxh64_intdigest(band.tobytes(), seed) for seed, band in enumerate(bands)]
-    return np.array(keys, np.uint64).view(np.int64).tolist()
+    return least
 
 
-@F.arrow_udf(T.StructType().add("n", T.IntegerType()).add("keys", T.ArrayType(T.LongType())))
-def band_keys(texts: pa.Array) -> pa.Array:
-    """Number of distinct wide shingles, and the band keys of their set; null and blank texts have none."""
+def band_keys_of(hashes: np.ndarray, level: int = 0) -> tuple[list[int], bytes]:
+    """Keys of the bands of a level, signed, and the sketch: the last bit of each of the MinHash values.
+
+    Level 0 has ``BANDS`` bands of ``BAND_ROWS`` values; bands of later levels are longer and of values of their own.
+    """
+    bands, rows = (FURTHER_BANDS if level else BANDS), BAND_ROWS << level
+    least = min_hashes(hashes, bands * rows, SEED + level)
+    keys = [xxhash.xxh64_intdigest(band.tobytes(), seed) for seed, band in enumerate(least.reshape(bands, rows))]
+    # The last bits of products by odd factors follow the set's; higher ones are mixed.
+    bits = np.packbits((least >> np.uint64(40)).astype(np.uint8) & 1)
+    return np.array(keys, np.uint64).view(np.int64).tolist(), bits.tobytes()[:16].ljust(16, b"\0")
+
+
+WIDE_TYPE = T.StructType().add("n", T.IntegerType()).add("keys", T.ArrayType(T.LongType())).add("s0", T.LongType()).add("s1", T.LongType())
+
+
+@F.arrow_udf(WIDE_TYPE)
+def wide_keys(texts: pa.Array) -> pa.Array:
+    """Number of distinct wide shingles, band keys and sketch of their set; null and blank texts have no keys."""
     sets = [np.unique(shingle_hashes(t, WIDE)) for t in texts.cast(pa.large_binary()).to_pylist()]
-    keys = pa.array([band_keys_of(x) if len(x) else [] for x in sets], pa.list_(pa.int64()))
-    return pa.StructArray.from_arrays([pa.array([len(x) for x in sets], pa.int32()), keys], ["n", "keys"])
+    made = [band_keys_of(x) if len(x) else ([], bytes(16)) for x in sets]
+    sketches = np.frombuffer(b"".join(m[1] for m in made), "<i8").reshape(-1, 2)
+    keys = pa.array([m[0] for m in made], pa.list_(pa.int64()))
+    columns = [pa.array([len(x) for x in sets], pa.int32()), keys, pa.array(sketches[:, 0].copy()), pa.array(sketches[:, 1].copy())]
+    return pa.StructArray.from_arrays(columns, ["n", "keys", "s0", "s1"])
+
+
+@F.arrow_udf(T.BinaryType())
+def shingle_set(texts: pa.Array) -> pa.Array:
+    """The sorted set of wide shingle hashes, eight bytes each."""
+    return pa.array([np.unique(shingle_hashes(t, WIDE)).tobytes() for t in texts.cast(pa.large_binary()).to_pylist()], pa.binary())
+
+
+def further_keys(sets: Column, level: int) -> Column:
+    """Keys of a level from stored sets."""
+
+    @F.arrow_udf(T.ArrayType(T.LongType()))
+    def keys(column: pa.Array) -> pa.Array:
+        return pa.array([band_keys_of(np.frombuffer(x, "<u8"), level)[0] for x in column.to_pylist()], pa.list_(pa.int64()))
+
+    return keys(sets)
 
 
 @F.arrow_udf(T.BooleanType())
 def similar(left: pa.Array, right: pa.Array) -> pa.Array:
-    """Whether the sets of wide shingles of two texts have a Jaccard similarity of 4/5 or more."""
+    """Whether two sets of shingle hashes have a Jaccard similarity of 4/5 or more."""
     found = []
-    for a, b in zip(left.cast(pa.large_binary()).to_pylist(), right.cast(pa.large_binary()).to_pylist()):
-        a, b = np.unique(shingle_hashes(a, WIDE)), np.unique(shingle_hashes(b, WIDE))
+    for a, b in zip(left.to_pylist(), right.to_pylist()):
+        a, b = np.frombuffer(a, "<u8"), np.frombuffer(b, "<u8")
         both = len(np.intersect1d(a, b, assume_unique=True))
         found.append(both > 0 and 5 * both >= 4 * (len(a) + len(b) - both))
     return pa.array(found, pa.bool_())
 
 
-def _verified(pairs: DataFrame, docs: DataFrame, text: str) -> DataFrame:
-    """Rows of ``pairs`` (numbers ``a`` and ``b`` of texts) whose texts are similar."""
-    needed = pairs.select(F.col("a").alias("tid")).union(pairs.select("b")).distinct()
-    texts = docs.select(F.xxhash64(F.col(text)).alias("tid"), F.col(text).alias("body"))
-    texts = texts.join(needed, "tid", "left_semi").groupBy("tid").agg(F.first("body").alias("body"))
-    texts = stored(texts, "similar-texts")
-    sides = [texts.select(F.col("tid").alias(c), F.col("body").alias(f"body_{c}")) for c in "ab"]
+def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """Rows of ``pairs`` (numbers ``a`` and ``b`` of texts) whose sets are similar."""
+    sides = [sets.select(F.col("tid").alias(c), F.col("set").alias(f"set_{c}")) for c in "ab"]
     both = stored(pairs.join(sides[0], "a"), "similar-left").join(sides[1], "b")
-    checked = both.select(*pairs.columns, similar("body_a", "body_b").alias("is_similar"))
+    checked = both.select(*pairs.columns, similar("set_a", "set_b").alias("is_similar"))
     return stored(checked.filter("is_similar").drop("is_similar"), "similar-pairs")
 
 
-def similar_links(prints: DataFrame, docs: DataFrame, text: str = "text", bucket: int = BUCKET) -> DataFrame:
-    """Links ``(a, b)`` of fingerprints whose texts have a Jaccard similarity of 4/5 or more.
+def _sets_of(docs: DataFrame, text: str, needed: DataFrame) -> DataFrame:
+    """``(tid, set)`` of the texts whose numbers are ``needed``."""
+    body = F.col(f"`{text}`")
+    texts = docs.select(F.xxhash64(body).alias("tid"), body.alias("body")).join(needed, "tid", "left_semi")
+    texts = texts.groupBy("tid").agg(F.first("body").alias("body"))
+    return stored(texts.select("tid", shingle_set("body").alias("set")), "shingle-sets")
+
+
+def similar_links(prints: DataFrame, docs: DataFrame, text: str = "text", bucket: int = WIDE_BUCKET) -> DataFrame:
+    """Links ``(a, b)`` of fingerprints that connect texts with a Jaccard similarity of 4/5 or more.
 
-    ``prints`` has ``fp``, ``tid`` (the text's hash) and ``wide`` of each row. Texts that share a band's key
-    are candidates, those within two bits excepted, which :func:`links` connects. Under a key of more than
-    ``bucket`` texts, all are compared with the least one; those it is linked to are in one component, and only
-    the others are compared with all. So each pair under a key is compared or connected.
+    ``prints`` has ``fp``, ``tid`` (the text's hash) and ``wide`` of each row. Texts that share a band's key are
+    candidates, those within two bits excepted, which :func:`links` connects; pairs whose sizes or sketches rule
+    out 4/5 are not compared. Under a key of more than ``bucket`` texts all are compared with the least one, and
+    two that it links are connected. Members that it does not link stay open: they and the other texts of their
+    key get new keys, from longer bands, and so on until no crowded key has an open member. Texts of a key that
+    long are much alike, so few stay open; no level joins a crowd with itself, and rows grow with the texts.
     """
-    near = lambda a, b: distance(F.col(f"{a}.fp"), F.col(f"{b}.fp")) <= 2
-    fits = lambda a, b: 5 * F.least(f"{a}.n", f"{b}.n") >= 4 * F.greatest(f"{a}.n", f"{b}.n")
-    texts = prints.groupBy("tid").agg(F.first("fp").alias("fp"), F.first("wide").alias("wide"))
-    keys = texts.select("tid", "fp", "wide.n", F.explode("wide.keys").alias("key"))
-    keys = stored(keys, "band-keys")
-    sizes = keys.groupBy("key").agg(F.count(F.lit(1)).alias("members"), F.min(F.struct("tid", "fp", "n")).alias("least"))
-    shared = stored(keys.join(sizes.filter("members > 1"), "key"), "band-shared")
-    ends = lambda a, b: [F.col(f"{x}.{c}").alias(f"{n}{s}") for c, n in (("tid", ""), ("fp", "fp_")) for x, s in ((a, "a"), (b, "b"))]
-    small = shared.filter(F.col("members") <= bucket).drop("members", "least")
-    apart = (F.col("l.key") == F.col("r.key")) & (F.col("l.tid") < F.col("r.tid")) & ~near("l", "r") & fits("l", "r")
-    pairs = small.alias("l").join(small.alias("r"), apart).select(*ends("l", "r"))
-    crowd = shared.filter(F.col("members") > bucket)
-    away = crowd.select("key", "least", F.struct("tid", "fp", "n").alias("own")).filter(~near("least", "own"))
-    tried = away.filter(fits("least", "own")).select(*ends("least", "own")).distinct()
-    linked = _verified(stored(tried, "tried-pairs"), docs, text)
-    known = linked.select(F.col("a").alias("least_tid"), F.col("b").alias("own_tid"))
-    is_known = (F.col("least.tid") == F.col("least_tid")) & (F.col("own.tid") == F.col("own_tid"))
-    others = stored(away.join(known, is_known, "left_anti").select("key", "own.tid", "own.fp", "own.n"), "others")
-    apart = (F.col("l.key") == F.col("r.key")) & (F.col("l.tid") != F.col("r.tid")) & ~near("l", "r") & fits("l", "r")
-    rest = others.alias("l").join(crowd.select("key", "tid", "fp", "n").alias("r"), apart).select(*ends("l", "r"))
-    swap = F.col("a") > F.col("b")
-    turned = lambda x, y: F.when(swap, F.col(y)).otherwise(F.col(x))
-    rest = rest.select(*(turned(x, y).alias(x) for x, y in (("a", "b"), ("b", "a"), ("fp_a", "fp_b"), ("fp_b", "fp_a"))))
-    checked = _verified(stored(pairs.union(rest).distinct(), "similar-candidates"), docs, text)
-    return linked.union(checked).select(F.col("fp_a").alias("a"), F.col("fp_b").alias("b")).distinct()
+    own = ["tid", "fp", "n", "s0", "s1"]
+    part = lambda x, c: F.col(f"{x}.{c}")
+    near = lambda a, b: distance(part(a, "fp"), part(b, "fp")) <= 2
+    fits = lambda a, b: 5 * F.least(part(a, "n"), part(b, "n")) >= 4 * F.greatest(part(a, "n"), part(b, "n"))
+    apart = lambda a, b: sum((distance(part(a, c), part(b, c)) for c in ("s0", "s1")), F.lit(0))
+    worth = lambda a, b: ~near(a, b) & fits(a, b) & (apart(a, b) <= SKETCH_APART)
+    ends = lambda a, b: [part(x, c).alias(f"{n}{s}") for c, n in (("tid", ""), ("fp", "fp_")) for x, s in ((a, "a"), (b, "b"))]
+    texts = prints.groupBy("tid").agg(F.first("fp").alias("fp"), F.first("wide").alias("wide")).select("tid", "fp", "wide.*")
+    members = texts.select(*own, F.lit(True).alias("open"), F.explode("keys").alias("key"))
+    found, sets, level = [], None, 0
+    while True:
+        members = stored(members, "band-keys")
+        least = F.min(F.struct(*own)).alias("least")
+        sizes = members.groupBy("key").agg(F.count(F.lit(1)).alias("members"), F.max("open").alias("any_open"), least)
+        shared = stored(members.join(sizes.filter("members > 1 AND any_open").drop("any_open"), "key"), "band-shared")
+        if sets is None:
+            sets = _sets_of(docs, text, shared.select("tid").distinct())
+        small = shared.filter(F.col("members") <= bucket).select("key", "open", *own)
+        open_pair = (part("l", "key") == part("r", "key")) & (part("l", "tid") < part("r", "tid")) & (part("l", "open") | part("r", "open"))
+        pairs = small.alias("l").join(small.alias("r"), open_pair & worth("l", "r")).select(*ends("l", "r"))
+        crowd = shared.filter(F.col("members") > bucket).select("key", "least", F.struct(*own).alias("own"))
+        tried = crowd.filter(worth("least", "own")).select(*ends("least", "own"))
+        linked = _verified(stored(pairs.union(tried).distinct(), "similar-candidates"), sets)
+        found.append(linked.select(F.col("fp_a").alias("a"), F.col("fp_b").alias("b")))
+        known = linked.select(F.col("a").alias("least_tid"), F.col("b").alias("own_tid"))
+        is_known = (F.col("least.tid") == F.col("least_tid")) & (F.col("own.tid") == F.col("own_tid"))
+        left = stored(crowd.filter(~near("least", "own")).join(known, is_known, "left_anti").select("key", "own.tid"), "open-members")
+        if left.isEmpty():
+            return reduce(DataFrame.union, found).distinct()
+        again = crowd.join(left.select("key").distinct(), "key", "left_semi").select("own.*").distinct()
+        is_open = left.select(F.col("tid").alias("open_tid")).distinct()
+        again = again.join(is_open, F.col("tid") == F.col("open_tid"), "left").withColumn("open", F.col("open_tid").isNotNull())
+        level += 1
+        keyed = stored(again.drop("open_tid"), "open-texts").join(sets, "tid").withColumn("keys", further_keys(F.col("set"), level))
+        members = keyed.select(*own, "open", F.explode("keys").alias("key"))
 
 
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -263,22 +316,16 @@ def near_dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", wide
     With ``wide``, texts of a five-word Jaccard similarity of 0.8 or more are linked besides those within two bits.
     """
     row_hash = F.xxhash64(*(F.col(f"`{c}`") for c in docs.columns))
-    prints = docs.select(F.col(doc_id).alias("doc_id"), simhash(F.col(text)).alias("fp"), row_hash.alias("row_hash"))
+    body = F.col(f"`{text}`")
+    columns = [F.col(f"`{doc_id}`").alias("doc_id"), simhash(body).alias("fp"), row_hash.alias("row_hash")]
     if wide:
-        prints = docs.select(
-            F.col(doc_id).alias("doc_id"),
-            simhash(F.col(text)).alias("fp"),
-            row_hash.alias("row_hash"),
-            F.xxhash64(F.col(text)).alias("tid"),
-            band_keys(F.col(text)).alias("wide"),
-        )
-    prints = stored(prints, "fingerprints")
+        columns += [F.xxhash64(body).alias("tid"), wide_keys(body).alias("wide")]
+    prints = stored(docs.select(*columns), "fingerprints")
     rows = _grouped(prints, similar_links(prints, docs, text) if wide else None)
     order = F.struct(F.col("doc_id").isNull().alias("unknown"), "doc_id", "row_hash")
     first = rows.groupBy("root").agg(F.min(order).alias("row"))
-    first = stored(first.select(F.col("row.doc_id").alias("_kept_id"), F.col("row.row_hash").alias("_row_hash")).distinct(), "kept-rows")
-    marked = docs.withColumn("_row_hash", row_hash)
-    kept = marked.join(first, (marked["_row_hash"] == first["_row_hash"]) & marked[doc_id].eqNullSafe(F.col("_kept_id")))
-    kept = kept.drop(first["_row_hash"])
-    copy = F.row_number().over(Window.partitionBy("_row_hash", "_kept_id").orderBy(F.lit(1)))
-    return kept.withColumn("_copy", copy).filter("_copy = 1").select(*(F.col(f"`{c}`") for c in docs.columns))
+    first = stored(first.select(F.col("row.doc_id").alias("kept_id"), F.col("row.row_hash").alias("kept_hash")).distinct(), "kept-rows")
+    marked = packed(docs, doc_id=doc_id).withColumn("row_hash", F.xxhash64(*(F.col(f"_row.`{c}`") for c in docs.columns)))
+    kept = marked.join(first, (F.col("row_hash") == F.col("kept_hash")) & F.col("doc_id").eqNullSafe(F.col("kept_id")))
+    copy = F.row_number().over(Window.partitionBy("kept_hash", "kept_id").orderBy(F.lit(1)))
+    return unpacked(kept.withColumn("copy", copy).filter("copy = 1"))

@@ -6,6 +6,7 @@ import xxhash
 from pyspark.sql import functions as F
 
 from quillmark.llm import components, simhash as q
+from quillmark.llm.text import stored
 
 
 def _fingerprint(text):
@@ -133,7 +134,49 @@ def test_wide_links_equal_brute_force_jaccard(spark):
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
     wanted = sorted(set(least))
     assert sorted(r[0] for r in q.near_dedup(docs, wide=True).select("doc_id").collect()) == wanted
-    prints = docs.select("doc_id", q.simhash("text").alias("fp"), F.xxhash64("text").alias("tid"), q.band_keys("text").alias("wide"))
+    prints = docs.select("doc_id", q.simhash("text").alias("fp"), F.xxhash64("text").alias("tid"), q.wide_keys("text").alias("wide"))
     for bucket in (1, 3):
         more = q.similar_links(prints, docs, bucket=bucket)
         assert sorted({r[0] for r in q._grouped(prints, more).select("component_id").collect()}) == wanted
+
+
+def test_a_crowd_of_near_copies_costs_in_proportion_and_loses_no_link(spark):
+    """Copies with none to many words changed: most do not link to the least one of their keys."""
+    rng = np.random.default_rng(9)
+
+    def crowd(n):
+        base, texts = [f"w{x}" for x in rng.integers(0, 5000, 150)], []
+        for _ in range(n):
+            words = list(base)
+            for at in rng.integers(0, len(words), rng.integers(0, 12)):
+                words[at] = f"v{rng.integers(0, 100_000)}"
+            texts.append(" ".join(words))
+        return sorted(set(texts))
+
+    made = {}
+    for n in (400, 800):
+        texts = crowd(n)
+        docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+        prints = docs.select("doc_id", q.simhash("text").alias("fp"), F.xxhash64("text").alias("tid"), q.wide_keys("text").alias("wide"))
+        prints = stored(prints, "t")
+        calls = []
+        real = q.stored
+        q.stored = lambda df, name: calls.append((name, real(df, name))) or calls[-1][1]
+        try:
+            links = q.similar_links(prints, docs)
+        finally:
+            q.stored = real
+        groups = {r["doc_id"]: r["component_id"] for r in q._grouped(prints, links).collect()}
+        if n == 400:
+            sets = [{tuple(w[i : i + 5]) for i in range(len(w) - 4)} for w in map(str.split, texts)]
+            fps = [_fingerprint(t) for t in texts]
+            pairs = [
+                (i, j)
+                for i in range(len(texts))
+                for j in range(i)
+                if 5 * len(sets[i] & sets[j]) >= 4 * len(sets[i] | sets[j]) or (fps[i] ^ fps[j]).bit_count() <= 2
+            ]
+            joined = sum(groups[i] == groups[j] for i, j in pairs)
+            assert joined >= 0.99 * len(pairs) > 1000
+        made[n] = sum(df.count() for name, df in calls if name in ("similar-candidates", "band-shared"))
+    assert made[800] < 3 * made[400]
