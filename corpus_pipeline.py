@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quillmark.llm import mixing, quality_rules, rule_ensemble, sentencepiece, simhash
-from quillmark.llm.text import stored
+from quillmark.llm.text import packed, stored, unpacked
 from quillmark.operators.reshape import computed
 
 PIECES = "/opt/tokenizers/piece_bpe_32k.model"  # a public vocabulary
@@ -21,43 +21,40 @@ def _labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/labels.parquet")
 
 
-def _kept(docs: DataFrame, judged: DataFrame, verdict) -> DataFrame:
-    """Rows of a true verdict, with the columns of ``docs``. The verdict is worked out once, not again below."""
-    passed = computed(judged, "_verdict", verdict).filter(F.col("_verdict"))
-    return passed.select(*(F.col(f"`{c}`") for c in docs.columns))
+def _packed(docs: DataFrame) -> DataFrame:
+    """What the operators read, beside all columns in one struct, which theirs cannot clash with."""
+    return packed(docs, doc_id="doc_id", text="text", source="source")
+
+
+def _kept(judged: DataFrame, verdict) -> DataFrame:
+    """Rows of a true verdict, as they came. The verdict is worked out once, not again below."""
+    return unpacked(computed(judged, "passed", verdict).filter("passed"))
 
 
 def filter_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the word rules and the likelihood ratio."""
-    return _kept(docs, quality_rules.quality_rules(docs, _labels(spark, sf_dir)), F.col("kept"))
+    return _kept(quality_rules.quality_rules(_packed(docs), _labels(spark, sf_dir)), F.col("kept"))
 
 
 def filter_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the rule ensemble predicts to be of quality; it learns from the unfiltered table."""
     examples = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    judged = rule_ensemble.classify(docs, _labels(spark, sf_dir), examples=examples)
-    return _kept(docs, judged, F.col("predicted") == 1)
+    judged = rule_ensemble.classify(_packed(docs), _labels(spark, sf_dir), examples=examples)
+    return _kept(judged, F.col("predicted") == 1)
 
 
 def remove_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each near-duplicate group (two bits, as in op6), the one of the smallest id."""
-    return simhash.near_dedup(docs)
-
+    """One document of each near-duplicate group, the one of the smallest id.
 
-def remove_similar(docs: DataFrame) -> DataFrame:
-    """One document of each group that two bits or a five-word Jaccard similarity of 0.8 link, that of the smallest id."""
+    Fingerprints within two bits link, as in op6; so do texts whose five-word shingles have a Jaccard similarity of 0.8.
+    """
     return simhash.near_dedup(docs, wide=True)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each document as often as the mix takes it: sources at their target weights.
-
-    Similar documents that the fingerprints leave go first, so that the weights are those of what stays.
-    """
-    docs = stored(remove_similar(docs), "pipeline-dissimilar")
-    mixed = computed(mixing.mix(docs), "_times", F.col("copies")).filter(F.col("_times") > 0)
-    again = mixed.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_times"))))
-    return again.select(*(F.col(f"`{c}`") for c in docs.columns))
+    """Each document as often as the mix takes it: sources at their target weights."""
+    mixed = computed(mixing.mix(_packed(docs)), "times", F.col("copies")).filter(F.col("times") > 0)
+    return unpacked(mixed.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("times")))))
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
