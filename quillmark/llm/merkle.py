@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from quillmark.llm.text import stored
 
 FANOUT = 16
-BLOCK = 64  # runs in one window
+BLOCK = 8  # runs in one window
 FIELDS = ("doc_id", "source", "lang", "n_chars", "text")
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -101,18 +101,21 @@ def tops(levels: list[DataFrame], tree: str) -> DataFrame:
     return reduce(DataFrame.union, (level.filter("n = 1").select(tree, "digest") for level in levels))
 
 
-def with_paths(levels: list[DataFrame], tree: str, above: DataFrame) -> DataFrame:
+def with_paths(levels: list[DataFrame], tree: str, above: DataFrame | None = None) -> DataFrame:
     """Leaves with ``path``, the siblings ``(l, r)`` of each level from the leaf on, and ``top``, the tree's last node.
 
-    ``above`` holds the path ``up`` that goes on from each tree's top. Paths come down level by level, each node
+    ``above`` holds the path ``up`` that goes on from each tree's top, if it does. Paths come down level by level, each node
     taking its parent's, so a tree's rows never meet under one key and a leaf is shuffled once.
     """
-    over = above.select(F.col(tree).alias("_tree"), F.col("up").alias("path"))
+    over = None if above is None else above.select(F.col(tree).alias("_tree"), F.col("up").alias("path"))
     step = F.array(F.struct(F.col("left").alias("l"), F.col("right").alias("r")))
     path = None
     for level in reversed(levels):
-        last = level.filter("n = 1").join(over, F.col(tree).eqNullSafe(F.col("_tree"))).withColumn("top", F.col("digest"))
-        last = last.drop("_tree", "left", "right")
+        last = level.filter("n = 1").withColumn("top", F.col("digest")).drop("left", "right")
+        if over is None:
+            last = last.withColumn("path", F.array().cast(PATH))
+        else:
+            last = last.join(over, F.col(tree).eqNullSafe(F.col("_tree"))).drop("_tree")
         if path is None:
             path = last
             continue
@@ -146,8 +149,7 @@ def manifest(docs: DataFrame, fields: tuple[str, ...] = FIELDS, doc_id: str = "d
     levels = climb(stored(numbered(distinct, "source", ["doc_id", "digest"]), "merkle-numbered"), "source")
     subroots = tops(levels, "source").select(F.lit(0).alias("tree"), "source", "digest", F.lit(1).cast("long").alias("copies"))
     sources = climb(stored(numbered(stored(subroots, "merkle-subroots"), "tree", ["source"]), "merkle-sources"), "tree")
-    nothing = docs.sparkSession.range(1).select(F.lit(0).alias("tree"), F.array().cast(PATH).alias("up"))
-    above = with_paths(sources, "tree", nothing).select("source", F.col("path").alias("up"))
+    above = with_paths(sources, "tree").select("source", F.col("path").alias("up"))
     rows = with_paths(levels, "source", stored(above, "merkle-above")).withColumn("_root", tops(sources, "tree").select("digest").scalar())
     start = F.coalesce("tampered", "digest")
     fold = F.aggregate("path", start, lambda d, s: digest(F.concat(s["l"], d, s["r"])))
