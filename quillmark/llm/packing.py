@@ -9,8 +9,11 @@ shuffle, no key and no group, and a lost task is simply run again.
 
 from __future__ import annotations
 
+import json
+import re
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -24,6 +27,8 @@ from quillmark.llm.sentencepiece import read_bytes
 CHUNK_BYTES = 8 << 20  # texts encoded at once
 WINDOW = 4096  # examples that a sequence chooses from
 CACHE = 200_000  # recurring words whose ids a worker keeps
+#: Letters, then marks that neither open a contraction nor occur in a special token.
+LETTERS_AND_MARKS = re.compile(r"([^\W\d_]+)([!\"#$%&()*+,\-./:;=?@\[\\\]^_`{}~]+)")
 GONE = 1 << 40  # size of an example that has been placed: fits nowhere
 
 
@@ -47,27 +52,71 @@ class WordEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(definition)
-        self.cache: dict[str, np.ndarray] = {}
-
-    def _encode_new(self, words: list[str]) -> list[np.ndarray]:
-        """A hundred words per call; the tokenizer says which word each id belongs to."""
+        suffix = json.loads(definition)["model"].get("end_of_word_suffix")
+        ends = [suffix is not None and t.endswith(suffix) for t, _ in sorted(self.tokenizer.get_vocab().items(), key=lambda x: x[1])]
+        self.ends_word = np.array(ends) if suffix else None
+        normalizer = self.tokenizer.normalizer
+        self.folds = normalizer is not None and normalizer.normalize_str("Ab") == "ab"
+        self.known: dict[str, int] = {}  # recurring words, numbered
+        self.known_ids, self.known_sizes = np.zeros(0, np.uint32), np.zeros(0, np.int64)
+
+    def _encode_words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the words in a row, and how many each has; the tokenizer says which word an id belongs to."""
         groups = [words[i : i + 100] for i in range(0, len(words), 100)]
         found = self.tokenizer.encode_batch(groups, is_pretokenized=True, add_special_tokens=False)
-        out = []
-        for group, encoded in zip(groups, found):
-            sizes = np.bincount(np.array(encoded.word_ids, np.int64), minlength=len(group))
-            out += np.split(np.array(encoded.ids, np.uint32), np.cumsum(sizes)[:-1])
-        return out
-
-    def _ids_of(self, words: pa.Array, counts: np.ndarray) -> list[np.ndarray]:
+        sizes = [np.bincount(np.array(e.word_ids, np.int64), minlength=len(g)) for g, e in zip(groups, found)]
+        ids = [np.array(e.ids, np.uint32) for e in found]
+        return np.concatenate([*ids, np.zeros(0, np.uint32)]), np.concatenate([*sizes, np.zeros(0, np.int64)])
+
+    def _encode_letters(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The same for words of letters alone, joined to texts: each word ends at an id that ends a word.
+
+        A word of letters has at least one end, so as many ends as words show that each has one. If they
+        differ, or the vocabulary marks no ends, words are encoded one by one.
+        """
+        if self.ends_word is None:
+            return self._encode_words(words)
+        texts = [" ".join(words[i : i + 100]) for i in range(0, len(words), 100)]
+        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+        ids = np.concatenate([*(np.array(e.ids, np.uint32) for e in found), np.zeros(0, np.uint32)])
+        ends = np.flatnonzero(self.ends_word[ids]) + 1
+        return (ids, np.diff(ends, prepend=0)) if len(ends) == len(words) else self._encode_words(words)
+
+    def _encode_new(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids and sizes of words. Letters with marks behind are encoded apart: no token spans both."""
+        stems, others, first, second = {}, {"": 0}, [], []
+        for word in words:
+            tail = ""
+            split = None if word.isalpha() else LETTERS_AND_MARKS.fullmatch(word)
+            if split and split[1].lower().isalpha():  # a letter may fold to one and a mark, which joins the marks behind
+                word, tail = split.groups()
+            if word.isalpha():
+                word = word.lower() if self.folds and word.isascii() else word
+                first.append(2 * stems.setdefault(word, len(stems)))
+            else:
+                first.append(2 * others.setdefault(word, len(others)) + 1)
+            second.append(others.setdefault(tail, len(others)))
+        parts = [self._encode_letters(list(stems)), self._encode_words(list(others))]
+        ids, sizes = (np.concatenate(column) for column in zip(*parts))
+        first, second = np.array(first, np.int64), np.array(second, np.int64)
+        whole = np.where(first % 2 == 0, first // 2, first // 2 + len(stems))
+        both = np.stack((whole, second + len(stems)), 1)
+        return _gathered(ids, np.cumsum(sizes) - sizes, sizes, both.ravel()), sizes[both].sum(1)
+
+    def _numbered(self, words: pa.Array, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Number of each word, and ids and sizes of all numbers. Words that recur are kept for later chunks."""
         names = words.to_pylist()
-        ids = list(map(self.cache.get, names))
-        fresh = [i for i, x in enumerate(ids) if x is None]
-        for i, x in zip(fresh, self._encode_new([names[i] for i in fresh])):
-            ids[i] = x
-            if counts[i] > 1 and len(self.cache) < CACHE and len(names[i]) <= 64:
-                self.cache[names[i]] = x.copy()
-        return ids
+        number = np.fromiter(map(self.known.get, names, repeat(-1)), np.int64, len(names))
+        fresh = np.flatnonzero(number < 0)
+        ids, sizes = self._encode_new([names[i] for i in fresh.tolist()])
+        number[fresh] = len(self.known_sizes) + np.arange(len(fresh))
+        all_ids, all_sizes = np.concatenate((self.known_ids, ids)), np.concatenate((self.known_sizes, sizes))
+        kept = np.flatnonzero((counts[fresh] > 1) & (sizes < 32))[: max(0, CACHE - len(self.known))]
+        for n, i in enumerate(fresh[kept].tolist(), len(self.known)):
+            self.known[names[i]] = n
+        self.known_ids = np.concatenate((self.known_ids, _gathered(ids, np.cumsum(sizes) - sizes, sizes, kept)))
+        self.known_sizes = np.concatenate((self.known_sizes, sizes[kept]))
+        return number, all_ids, all_sizes
 
     def encode(self, texts: pa.Array, end_id: int) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts in a row, each followed by ``end_id``, and the offsets of the texts in them."""
@@ -75,10 +124,8 @@ class WordEncoder:
         per_text = pc.list_value_length(split).to_numpy(zero_copy_only=False)
         words = split.flatten().dictionary_encode()
         which = words.indices.to_numpy(zero_copy_only=False)
-        ids = self._ids_of(words.dictionary, np.bincount(which, minlength=len(words.dictionary)))
-        sizes = np.array([len(x) for x in ids], np.int64)
-        flat = np.concatenate([*ids, np.zeros(0, np.uint32)])
-        firsts = np.cumsum(sizes) - sizes
+        number, flat, all_sizes = self._numbered(words.dictionary, np.bincount(which, minlength=len(words.dictionary)))
+        sizes, firsts = all_sizes[number], (np.cumsum(all_sizes) - all_sizes)[number]
         lengths = sizes[which]
         text_of = np.repeat(np.arange(len(texts)), per_text)
         starts = np.cumsum(lengths) - lengths + text_of  # one place is kept free after each earlier text
@@ -90,6 +137,13 @@ class WordEncoder:
         return out, offsets
 
 
+def _gathered(flat: np.ndarray, firsts: np.ndarray, sizes: np.ndarray, chosen: np.ndarray) -> np.ndarray:
+    """The chosen runs of ``flat``, one after the other."""
+    lengths = sizes[chosen]
+    within = np.arange(int(lengths.sum())) - np.repeat(np.cumsum(lengths) - lengths, lengths)
+    return flat[np.repeat(firsts[chosen], lengths) + within]
+
+
 def power_below(n: int) -> int:
     """The largest power of two up to ``n``."""
     return 1 << (n.bit_length() - 1)

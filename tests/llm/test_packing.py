@@ -54,6 +54,7 @@ def test_encoder_equals_the_tokenizer():
 
     tokenizer = Tokenizer.from_file(PATH)
     texts = [r[1] for r in cases.ROWS] + ["don't we'll 12 ½ x² y z İSTANBUL ΟΔΟΣ é ́a <|endoftext|> ~~!!", "a\x0bb\x0cc\rd"]
+    texts += ["Wort, wort. WORT!! it's 'tis rock'n'roll e=mc² naïve--- ñ, Ñ; K. x_y a_ <|startoftext|> a<|endoftext|>, A|b İ, ſ. don't, s's."]
     encoder = WordEncoder(tokenizer.to_str())
     for _ in range(2):  # the second time from the cache
         ids, offsets = encoder.encode(pa.array(texts, pa.string()), 1)
