@@ -8,11 +8,12 @@ from checks import sql as q
 from checks import tables as t
 from checks.registry import ORACLES, query
 from quillmark.functions import tokenize_ws, ttr_columns
+from quillmark.functions.sql import register_table_functions
 from quillmark.operators import corpus, dedup, labels, reshape, sketches, summaries
 from quillmark.plans import reports
 from quillmark.plans.preparation import add_clean_texts, preprocess
 from quillmark.profiles import LATIN
-from quillmark.sources import count_store, files, streams
+from quillmark.sources import count_store, files, layout, streams
 from quillmark.sources.scratch import scratch_dir, stored
 
 LANGS = ["en", "de", "es", "fr"]
@@ -613,3 +614,20 @@ def merge_stored_counts(spark, sf_dir):
         rows = counts.select(F.col("kind").alias("type"), F.col("term").alias("key"), F.col("n").alias("count"))
         count_store.save_counts(rows, names[-1], buckets=8, path=f"{root}/{late}")
     return count_store.merge_stored(spark, names, 8, f"{root}/merged")
+
+
+@query("term_counts_sql", ORACLES["term_counts"])
+def term_counts_sql(spark, sf_dir):
+    """The rows of term_counts by SQL alone: a table function called laterally."""
+    register_table_functions(spark)
+    t.processed(spark, sf_dir).createOrReplaceTempView("qm_processed")
+    return spark.sql("SELECT kind, term, count(*) AS n FROM qm_processed, LATERAL qm_terms(processed_text) GROUP BY kind, term")
+
+
+@query("clustered_range", "SELECT doc_id, lang, source, n_chars FROM documents WHERE n_chars BETWEEN 500 AND 2000")
+def clustered_range(spark, sf_dir):
+    """Documents of a range of lengths, read from files clustered by length."""
+    path = scratch_dir(spark, "clustered")
+    docs = t.table(spark, sf_dir, "documents").select("doc_id", "lang", "source", "n_chars")
+    layout.write_clustered(docs, path, "n_chars", parts=16)
+    return layout.read_between(spark, path, "n_chars", 500, 2000)

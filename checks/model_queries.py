@@ -92,8 +92,10 @@ def _buckets(terms: DataFrame) -> DataFrame:
 
 def _entries(vectors: DataFrame, column: str) -> DataFrame:
     """``(doc_id, bucket, value)`` of the entries other than 0."""
-    each = vectors.select("doc_id", F.posexplode(vector_to_array(column)).alias("bucket", "value"))
-    return each.filter("value <> 0")
+    v = F.unwrap_udt(column)  # a dense vector has no indices
+    places = F.coalesce(v["indices"], F.sequence(F.lit(0), F.size(v["values"]) - 1))
+    each = vectors.select("doc_id", F.explode(F.arrays_zip(places.alias("bucket"), v["values"].alias("value"))).alias("e"))
+    return each.select("doc_id", "e.*").filter("value <> 0")
 
 
 def _same_entries(docs: DataFrame, got: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -163,9 +165,13 @@ def _features(spark, sf_dir):
 
 
 @cache
+def _trained(spark, sf_dir, name, column=models.FEATURES):
+    """A classifier with default parameters and its seconds, fitted once per session and scale."""
+    return models.train(name, _features(spark, sf_dir).split("train"), column)
+
+
 def _classifier(spark, sf_dir, name, column=models.FEATURES):
-    model, _ = models.train(name, _features(spark, sf_dir).split("train"), column)
-    return model
+    return _trained(spark, sf_dir, name, column)[0]
 
 
 def _held_out(spark, sf_dir) -> DataFrame:
@@ -218,8 +224,7 @@ _score_linear("score_stylo", models.STYLO_FEATURES)
 def training_report(spark, sf_dir):
     """All models trained, evaluated and saved: stored confusion matrices against split sizes and metrics."""
     tables = _features(spark, sf_dir)
-    small = {"RandomForest": {"numTrees": 5, "maxDepth": 4}, "GBTClassifier": {"maxIter": 3, "maxDepth": 3}}
-    fitted, metrics = training.train_all(tables, params=small)
+    fitted, metrics = training.train_all(tables, trained={name: _trained(spark, sf_dir, name, models.FEATURES) for name in models.CLASSIFIERS})
     path = scratch_dir(spark, "models")
     training.save_all(tables, fitted, metrics, path)
     report = training.evaluation_report(tables)
@@ -515,3 +520,22 @@ def stream_metrics(spark, sf_dir):
         F.lit(matrix == {c: n for c, n in wanted.items() if c.startswith("label_")}).alias("matrix_equal"),
         F.lit(streams.read_listed(spark, f"{root}/manifest", batch.schema).count()).alias("n_records"),
     )
+
+
+@query(
+    "stream_confusion",
+    """SELECT CASE role WHEN 'user' THEN 1 ELSE 0 END AS label, count(*) AS n, TRUE AS same FROM conversations
+        WHERE role IN ('user', 'assistant') GROUP BY 1""",
+)
+def stream_confusion(spark, sf_dir):
+    """The running matrix of a stream that was stopped and started again, against the matrix of one batch."""
+    root, model, messages = scratch_dir(spark, "stream-confusion"), _pipeline(spark, sf_dir), t.messages(spark, sf_dir)
+    late = F.pmod(F.xxhash64("text"), F.lit(2)) == 1
+    for part in (messages.filter(~F.coalesce(late, F.lit(False))), messages.filter(late)):
+        _drop(part, f"{root}/in", files=2)
+        scored = scoring.stream_score(streams.stream_json_files(spark, f"{root}/in", max_files=1), model, LATIN)
+        scoring.run_confusion(scored, f"{root}/out", f"{root}/manifest", f"{root}/checkpoint").awaitTermination()
+    batch = reshape.prediction_view(model.transform(scoring.stream_features(messages, LATIN)))
+    wanted = evaluation.confusion_matrix(batch.withColumnRenamed("predicted_label", "prediction"), "true_label")
+    joined = scoring.latest_confusion(spark, f"{root}/manifest").join(wanted.withColumnRenamed("n", "wanted"), ["label", "prediction"])
+    return joined.groupBy("label").agg(F.sum("n").alias("n"), F.min(F.col("n") == F.col("wanted")).alias("same"))

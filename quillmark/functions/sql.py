@@ -94,6 +94,36 @@ def definitions(profile: LanguageProfile = ARABIC) -> dict[str, tuple[str, str]]
     }
 
 
+def table_definitions(profile: LanguageProfile = ARABIC, min_length: int = 2) -> dict[str, tuple[str, str]]:
+    """``{name: (columns, generator over t)}``.
+
+    Each is one generator of the argument alone, so a lateral call becomes a ``Generate`` in the caller's
+    plan, without a join. A null text gives no rows. In ``terms`` the words of a text are found once: the lambda's ``w``.
+    """
+    text = "coalesce(t, '')"
+    pairs = lambda joined, sep: f"regexp_extract_all({joined}, {_text(f'(?<![^{sep}])(?=([^{sep}]+{sep}[^{sep}]+))[^{sep}]++')}, 1)"
+    tokens = f"regexp_extract_all({text}, {_text(U + NONBLANK + '+')}, 0)"
+    words = f"regexp_extract_all({text}, {_text(f'[{profile.letter_class}]{{{min_length},}}')}, 0)"
+    named = lambda kind, of: f"transform({of}, x -> struct('{kind}' AS kind, x AS term))"
+    both = f"concat({named('WORD', 'w')}, {named('BIGRAM', pairs("array_join(w, '_')", '_'))})"
+    return {
+        "tokens": ("pos INT, token STRING", f"posexplode({tokens})"),
+        "bigrams": ("pos INT, bigram STRING", f"posexplode({pairs(f"array_join({tokens}, ' ')", ' ')})"),
+        "terms": ("kind STRING, term STRING", f"inline(flatten(transform(array({words}), w -> {both})))"),
+    }
+
+
+def register_table_functions(spark: SparkSession, profile: LanguageProfile = ARABIC, min_length: int = 2) -> list[str]:
+    """Create ``qm_tokens``, ``qm_bigrams`` and ``qm_terms`` for ``LATERAL`` in a session; return their names.
+
+    ``qm_terms`` gives the rows of ``explode_terms`` with filtered adjacency.
+    """
+    made = table_definitions(profile, min_length)
+    for name, (columns, generator) in made.items():
+        spark.sql(f"CREATE OR REPLACE TEMPORARY FUNCTION {PREFIX}{name}(t STRING) RETURNS TABLE({columns}) RETURN SELECT * FROM {generator}")
+    return [f"{PREFIX}{name}" for name in made]
+
+
 def register_sql_functions(spark: SparkSession, profile: LanguageProfile = ARABIC) -> list[str]:
     """Create the functions ``qm_...`` in a session; return their names."""
     made = definitions(profile)

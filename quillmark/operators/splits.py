@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from quillmark.operators.ranking import running_totals, value_slices
 from quillmark.operators.summaries import LABEL
+from quillmark.sources.scratch import stored
 
 SPLITS = ("train", "val", "test")
 FRACTIONS = (0.70, 0.15, 0.15)
@@ -46,15 +47,19 @@ def exact_split(
     fractions: tuple[float, ...] = FRACTIONS,
     seed: int = 42,
     names: tuple[str, ...] = SPLITS,
+    path: str | None = None,
 ) -> DataFrame:
     """``(key, label, split)`` with exact proportions: of a class of n rows, split k ends at row ``round(f_k n)``.
 
     Rows stand in the order of their key's hash, ties by key. Places are running totals over ranges of the
     hash, so a class is never one task. Keys are distinct; a row without one is dropped, as are other
-    classes than 0 and 1. Even a class of three rows has them in the splits that rounding gives.
+    classes than 0 and 1. Rows that repeat a key and its label are one row. Even a class of three rows has them in
+    the splits that rounding gives. The input is evaluated twice, once for the ranges' limits and once
+    for one exchange of narrow rows that all else reads; with ``path``, these rows are stored there and it is evaluated once.
     """
-    rows = df.filter(F.col(label).isin(0, 1) & F.col(key).isNotNull()).select(key, label, hash_fraction(key, seed).alias("value"))
-    sliced = value_slices(rows.withColumn("n", F.lit(1)))
+    rows = df.filter(F.col(label).isin(0, 1) & F.col(key).isNotNull()).groupBy(key, label).agg(F.max(F.lit(1)).alias("n"))
+    rows = rows if path is None else stored(rows, path)
+    sliced = value_slices(rows.withColumn("value", hash_fraction(key, seed)))
     placed = running_totals(sliced, [label], "slice", F.struct("value", key), {"place": "n"})
     sizes = sliced.groupBy(F.col(label).alias("_label")).agg(F.sum("n").alias("size"))
     joined = placed.join(sizes, F.col(label) == F.col("_label"))

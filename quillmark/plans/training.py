@@ -63,6 +63,7 @@ def train_all(
     names: tuple[str, ...] = tuple(CLASSIFIERS),
     features: str = FEATURES,
     params: dict[str, dict] | None = None,
+    trained: dict[str, tuple] | None = None,
 ) -> tuple[dict, DataFrame]:
     """Fit classifiers one after the other; return the models and the metrics of val and test.
 
@@ -70,11 +71,13 @@ def train_all(
     Every model scores every split once: the scores are stored next to the features, and metrics and
     confusion matrices are worked out from them and stored as well (see :func:`evaluation_report`).
     The training split is not cached: each classifier reads the stored features and keeps its own
-    compact form of them while it learns.
+    compact form of them while it learns. ``trained`` holds classifiers that are fitted on these tables
+    already, by name, each with its seconds.
     """
-    spark = tables.spark
+    spark, known = tables.spark, trained or {}
     training = tables.split("train").select(LABEL, features)
-    fitted = {name: train(name, training, features, **(params or {}).get(name, {})) for name in names}
+    fit = lambda name: train(name, training, features, **(params or {}).get(name, {}))
+    fitted = {name: known.get(name) or fit(name) for name in names}
     models = {name: model for name, (model, _) in fitted.items()}
     held_out = {s: tables.split(s).select(LABEL, features) for s in ("val", "test")}
     runs = stored(scored_runs(models, held_out), f"{tables.root}/scores", ("model", "split"))

@@ -138,13 +138,15 @@ def write_listed(
     metrics: dict[str, Column] | None = None,
     monitor=None,
     rows: int = 10,
+    mode: str = "append",
 ) -> StreamingQuery:
     """Write each batch to a new folder and then list it, with its metrics, in a manifest that is only added to.
 
     ``metrics`` are aggregates of a batch (all counts), observed while it is written, so that they cost no other pass;
     ``rows`` is always among them. A batch is listed before its checkpoint commits it: a driver that dies in
     between repeats it, and readers take the latest listing of each batch, whose folder is complete. What a dying
-    or repeated batch leaves half-written is never listed, and listed folders are never written again.
+    or repeated batch leaves half-written is never listed, and listed folders are never written again. ``mode``
+    is the output mode: a stream with an aggregation needs ``update`` or ``complete``.
     """
     wanted = {"rows": F.count(F.lit(1)), **(metrics or {})}
 
@@ -160,7 +162,8 @@ def write_listed(
         if monitor:
             monitor(spark.read.schema(batch.schema).parquet(path).limit(rows), batch_id)
 
-    return df.writeStream.foreachBatch(both).option("checkpointLocation", checkpoint).trigger(**_trigger(every)).start()
+    writer = df.writeStream.foreachBatch(both).outputMode(mode).option("checkpointLocation", checkpoint)
+    return writer.trigger(**_trigger(every)).start()
 
 
 def listed_batches(spark: SparkSession, manifest: str, id: str | None = None) -> DataFrame:

@@ -11,7 +11,7 @@ from pyspark.sql.window import Window
 from quillmark.operators.reshape import prediction_view
 from quillmark.plans.preparation import add_style
 from quillmark.profiles import ARABIC, LanguageProfile
-from quillmark.sources.streams import PROGRESS_SCHEMA, ProgressLog, listed_batches, write_listed, write_predictions, write_with_monitor
+from quillmark.sources.streams import PROGRESS_SCHEMA, ProgressLog, listed_batches, read_listed, write_listed, write_predictions, write_with_monitor
 
 
 def stream_features(df: DataFrame, profile: LanguageProfile = ARABIC) -> DataFrame:
@@ -98,6 +98,35 @@ def running_confusion(spark: SparkSession, manifest: str) -> DataFrame:
     return parts.select("batch_id", F.col("label").cast("int"), F.col("predicted").cast("int"), F.sum("n").over(so_far).alias("n"))
 
 
+def stream_confusion(scored: DataFrame, label: str = "true_label", predicted: str = "predicted_label") -> DataFrame:
+    """``(label, prediction, n)`` of all scored messages so far, kept in Spark's state store.
+
+    Works on a stream and on a batch. Messages without a label or a prediction of 0 or 1 are left out. Each task adds
+    up its own rows before the shuffle, so four cells are four rows a task, however many messages share one.
+    """
+    known = scored.select(F.col(label).cast("int").alias("label"), F.col(predicted).cast("int").alias("prediction"))
+    cells = known.filter(F.col("label").isin(0, 1) & F.col("prediction").isin(0, 1))
+    return cells.groupBy("label", "prediction").agg(F.count(F.lit(1)).alias("n"))
+
+
+def run_confusion(scored: DataFrame, out: str, manifest: str, checkpoint: str, every: str | None = None) -> StreamingQuery:
+    """Start keeping the confusion matrix of a scored stream: every batch writes and lists the cells it changed.
+
+    A run that starts again with its checkpoint goes on with the counts of its state store.
+    """
+    return write_listed(stream_confusion(scored), out, manifest, checkpoint, every, mode="update")
+
+
+def latest_confusion(spark: SparkSession, manifest: str) -> DataFrame:
+    """``(label, prediction, n)`` after the last listed batch, all four cells, 0 where empty.
+
+    Counts only grow, so a cell's largest listed one is its last. One checkpoint has one manifest.
+    """
+    cells = read_listed(spark, manifest, "label int, prediction int, n long").groupBy("label", "prediction").agg(F.max("n").alias("n"))
+    every = spark.sql("SELECT * FROM VALUES (0, 0), (0, 1), (1, 0), (1, 1) AS cells(label, prediction)")
+    return every.join(cells, ["label", "prediction"], "left").select("label", "prediction", F.coalesce("n", F.lit(0)).alias("n"))
+
+
 def stream_progress(spark: SparkSession, path: str, id: str | None = None, manifest: str | None = None) -> DataFrame:
     """``(batch_id, rows, duration_ms)`` of every batch with rows that runs of one checkpoint logged under ``path``.
 
