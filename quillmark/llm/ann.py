@@ -4,9 +4,9 @@ Centroids are fitted on a bounded sample. Every vector goes to the posting list
 and, near a boundary, to those of other centroids that are almost as near. Lists over a size limit are
 cut into parts that are searched side by side, and the queries of a list into blocks, so that no list is
 one task's burden. Vectors find their lists on a
-neighbour graph of the centroids, kept in memory. A query ranks all centroids and reads the lists whose centroid
-is not much farther than the nearest: at most a share of all lists, so that recall does not fall as lists grow in
-number, and at least as many as hold ``k`` other entries. Queries and lists meet in one join on the list's number.
+neighbour graph of the centroids, kept in memory, and so do queries, which read those whose centroid is not much
+farther than the nearest: at most a share of all lists, so that recall does not fall as lists grow in number, and at
+least as many as hold ``k`` other entries. Queries and lists meet in one join on the list's number.
 """
 
 from __future__ import annotations
@@ -126,7 +126,7 @@ def _lists_of(vec: Column, graph, width: int, ratio: float, most: int) -> Column
 
 
 def _lists_to_read(vec: Column, shared, ratio: float, share: float, least: int, entries: int) -> Column:
-    """Numbers of the lists that a query reads, nearest centroid first.
+    """Numbers of the lists that a query reads, nearest centroid first, found on the graph.
 
     Lists whose centroid is at most ``1 + ratio`` times as far as the nearest, cut to ``share`` of all lists or
     to ``least``, whichever is more; then further ones until they own ``entries`` entries. ``shared`` holds the
@@ -136,13 +136,18 @@ def _lists_to_read(vec: Column, shared, ratio: float, share: float, least: int,
     @F.arrow_udf("array<int>")
     def lists(vectors: pa.Array) -> pa.Array:
         graph, owned = shared.value
-        centroids, out = graph.centroids, []
-        most = max(least, math.ceil(share * len(centroids)))
+        count, out = len(graph.centroids), []
+        most = max(least, math.ceil(share * count))
         flat = vectors.flatten().to_numpy(zero_copy_only=False).reshape(len(vectors), -1)
         for query in flat:
-            squared = ((centroids - query) ** 2).sum(1)
-            order = np.argsort(squared, kind="stable")
-            near = np.searchsorted(squared[order], (1 + ratio) ** 2 * squared[order[0]] + 1e-12, "right")
+            width = most
+            order, squared = graph.search(query, width)
+            while owned[order].sum() < entries and width < count:  # a wider beam, where near lists hold too few
+                width *= 2
+                order, squared = graph.search(query, width)
+            if owned[order].sum() < entries:  # islands that the graph does not lead to
+                order = np.concatenate((order, np.setdiff1d(np.arange(count), order)))
+            near = np.searchsorted(squared, (1 + ratio) ** 2 * squared[0] + 1e-12, "right")
             enough = np.searchsorted(np.cumsum(owned[order]), entries) + 1
             out.append(order[: max(min(int(near), most), int(enough))].tolist())
         return pa.array(out, pa.list_(pa.int32()))
