@@ -233,9 +233,9 @@ def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 def _sets_of(docs: DataFrame, text: str, needed: DataFrame) -> DataFrame:
     """``(tid, set)`` of the texts whose numbers are ``needed``."""
     body = F.col(f"`{text}`")
-    texts = docs.select(F.xxhash64(body).alias("tid"), body.alias("body")).join(needed, "tid", "left_semi")
-    texts = texts.groupBy("tid").agg(F.first("body").alias("body"))
-    return stored(texts.select("tid", shingle_set("body").alias("set")), "shingle-sets")
+    texts = docs.select(F.xxhash64(body).alias("tid"), body.alias("body"))
+    texts = texts.groupBy("tid").agg(F.first("body").alias("body"))  # copies meet once a task, not in one
+    return stored(texts.join(needed, "tid").select("tid", shingle_set("body").alias("set")), "shingle-sets")
 
 
 def similar_links(prints: DataFrame, docs: DataFrame, text: str = "text", bucket: int = WIDE_BUCKET) -> DataFrame:
