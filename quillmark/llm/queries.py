@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillmark.llm import ann, centroids, chat, katz, licenses, merkle, mixing, packing, quality_rules, rule_ensemble
+from quillmark.llm import ann, centroids, chat, licenses, merkle, mixing, ngram_tables, packing, quality_rules, rule_ensemble
 from quillmark.llm import sentencepiece, simhash, url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -190,8 +190,8 @@ def op4_sentencepiece(spark, sf_dir):
 
 @query
 def op7_katz(spark, sf_dir):
-    """Every document's log10 probability under a Katz backoff model of nine in ten documents."""
-    return katz.score_documents(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    """Every document's log10 probability under a Katz backoff model of order three of nine in ten documents."""
+    return ngram_tables.score_documents(_table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
 @query
