@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -51,6 +53,8 @@ def exact_split(
 ) -> DataFrame:
     """``(key, label, split)`` with exact proportions: of a class of n rows, split k ends at row ``round(f_k n)``.
 
+    The products are decimals and halves are rounded up: 0.7 of 45 rows is 31.5, so 32, and not 31.499... as in doubles.
+
     Rows stand in the order of their key's hash, ties by key. Places are running totals over ranges of the
     hash, so a class is never one task. Keys are distinct; a row without one is dropped, as are other
     classes than 0 and 1. Rows that repeat a key and its label are one row. Even a class of three rows has them in
@@ -63,10 +67,10 @@ def exact_split(
     placed = running_totals(sliced, [label], "slice", F.struct("value", key), {"place": "n"})
     sizes = sliced.groupBy(F.col(label).alias("_label")).agg(F.sum("n").alias("size"))
     joined = placed.join(sizes, F.col(label) == F.col("_label"))
-    split, limit = F.lit(names[-1]), sum(fractions[:-1])
-    for name, fraction in reversed(list(zip(names[:-1], fractions[:-1]))):
-        split = F.when(F.col("place") < F.round(F.col("size") * round(limit, 9)), name).otherwise(split)
-        limit -= fraction
+    shares = [Decimal(repr(round(fraction, 9))) for fraction in fractions[:-1]]
+    split = F.lit(names[-1])
+    for k in reversed(range(len(shares))):
+        split = F.when(F.col("place") < F.round(F.col("size") * F.lit(sum(shares[: k + 1]))), names[k]).otherwise(split)
     return joined.select(key, label, split.alias("split"))
 
 

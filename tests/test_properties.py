@@ -181,6 +181,15 @@ def test_exact_split_has_exact_proportions(spark):
         assert [got.get((c, s), 0) for s in ("train", "val", "test")] == [b - a for a, b in zip(ends, ends[1:])]
 
 
+@pytest.mark.parametrize("n, ends", [(45, (32, 38)), (85, (60, 72)), (88145, (61702, 74923))])
+def test_exact_split_rounds_halves_up_as_decimals_do(spark, n, ends):
+    from quillmark.operators.splits import exact_split
+
+    df = spark.range(n).select("id", F.lit(1).alias("category_encode"))
+    got = {r["split"]: r["count"] for r in exact_split(df, "id").groupBy("split").count().collect()}
+    assert got == {"train": ends[0], "val": ends[1] - ends[0], "test": n - ends[1]}
+
+
 def test_split_is_a_stable_partition(spark):
     df = spark.range(5000).withColumn("category_encode", F.when(F.col("id") % 11 == 0, 1).when(F.col("id") % 7 == 0, None).otherwise(0))
     split = stratified_split(df, "id")
