@@ -29,32 +29,33 @@ def _zip(*arrays: Column) -> Column:
 
 
 def with_hashes(docs: DataFrame, text: str = "text") -> DataFrame:
-    """Add ``_words`` and ``_hw``, the words' 64-bit hashes; null texts have none."""
+    """Add ``_words``, ``_hw``, the words' 64-bit hashes, and ``_hp``, those of neighbouring pairs; null texts have none."""
     words = blank_words(F.coalesce(F.col(text), F.lit("")))
     hashed = docs.withColumn("_words", words)
-    return hashed.withColumn("_hw", F.transform("_words", lambda w: F.xxhash64(w)))
+    hashed = hashed.withColumn("_hw", F.transform("_words", lambda w: F.xxhash64(w)))
+    firsts = F.slice("_hw", 1, F.greatest(F.size("_hw") - 1, F.lit(0)))
+    return hashed.withColumn("_hp", F.zip_with(firsts, _shifted(F.col("_hw"), 1), lambda a, b: F.xxhash64(a, b)))
 
 
-def buckets(hashes: Column, n_buckets: int = BUCKETS) -> Column:
-    """Bucket numbers of all unigrams and bigrams of an array of word hashes."""
-    mask = F.lit(n_buckets - 1).cast("long")
-    single = F.transform(hashes, lambda h: h.bitwiseAND(mask).cast("int"))
-    pairs = F.slice(_zip(hashes, _shifted(hashes, 1)), 1, F.greatest(F.size(hashes) - 1, F.lit(0)))
-    double = F.transform(pairs, lambda p: F.xxhash64(p).bitwiseAND(mask).cast("int"))
-    return F.concat(single, double)
+def bucket(gram: Column, n_buckets: int = BUCKETS) -> Column:
+    """Bucket number of the hash of a unigram or bigram."""
+    return gram.bitwiseAND(F.lit(n_buckets - 1).cast("long")).cast("int")
 
 
 def with_measures(docs: DataFrame, text: str = "text") -> DataFrame:
-    """Add the measures of the word rules to rows that have ``_words`` and ``_hw``.
+    """Add the measures of the word rules to rows that have ``_words``, ``_hw`` and ``_hp``.
 
-    Windows of five words are compared by 64-bit hashes. Only texts in which one occurs twice sort
-    their windows: equal ones become neighbours, and the words that the marked windows cover are
+    Windows of five words are compared by 64-bit hashes of two pairs and a word. A window that occurs twice
+    repeats its four pairs, so texts with fewer repeated pairs make no windows. Only texts in which a window
+    occurs twice sort them: equal ones become neighbours, and the words that the marked windows cover are
     counted from their positions.
     """
     body = F.coalesce(F.col(text), F.lit(""))
-    shifts = _zip(*(_shifted(F.col("_hw"), i) for i in range(WINDOW)))
+    shifts = _zip(F.col("_hp"), _shifted(F.col("_hp"), 2), _shifted(F.col("_hw"), WINDOW - 1))
     windows = F.slice(shifts, 1, F.greatest(F.size("_hw") - (WINDOW - 1), F.lit(0)))
-    rows = docs.withColumn("_windows", F.transform(windows, lambda s: F.xxhash64(s)))
+    enough = F.size("_hp") - F.size(F.array_distinct("_hp")) >= WINDOW - 1
+    none = F.array().cast("array<bigint>")
+    rows = docs.withColumn("_windows", F.when(enough, F.transform(windows, lambda s: F.xxhash64(s))).otherwise(none))
     repeats = F.size(F.array_distinct("_windows")) < F.size("_windows")
     positions = F.sequence(F.lit(0), F.size("_windows") - 1)
     rows = rows.withColumn("_sorted", F.when(repeats, F.sort_array(_zip(F.col("_windows"), positions))))
@@ -66,7 +67,8 @@ def with_measures(docs: DataFrame, text: str = "text") -> DataFrame:
     steps = _zip(F.col("_marked"), _shifted(F.col("_marked"), 1))
     new_words = lambda s: F.least(F.lit(WINDOW), F.coalesce(s["f1"] - s["f0"], F.lit(WINDOW)))
     covered = F.aggregate(steps, F.lit(0), lambda n, s: n + new_words(s))
-    rows = rows.withColumn("_lines", F.filter(F.split(body, "\n"), lambda line: line.rlike(NOT_BLANK)))
+    lines = F.filter(F.split(body, "\n"), lambda line: line.rlike(NOT_BLANK))
+    rows = rows.withColumn("_lines", F.when(F.contains(body, F.lit("\n")), lines).otherwise(F.array().cast("array<string>")))
     n_words, n_repeat = F.size("_words"), F.coalesce(covered, F.lit(0))
     return rows.withColumns(
         {
@@ -79,23 +81,26 @@ def with_measures(docs: DataFrame, text: str = "text") -> DataFrame:
     ).withColumn("base_failed", (F.col("n_words") < 10) | (F.col("n_repeat_words") * 100 > F.col("n_words") * 20))
 
 
-def trusted_ids(labels: DataFrame, doc_id: str = "doc_id", quality: str = "quality", bound: int = 20_000) -> DataFrame:
-    """Ids of at most ``bound`` documents labelled 1, those of the smallest hashes; the bound allows a broadcast."""
-    ids = labels.filter(F.col(quality) == 1).select(F.col(doc_id).alias("_trusted_id")).dropna().distinct()
-    return ids.orderBy(F.xxhash64("_trusted_id"), "_trusted_id").limit(bound)
+def trusted_ids(labels: DataFrame, doc_id: str = "doc_id", quality: str = "quality") -> DataFrame:
+    """Ids of all documents labelled 1."""
+    return labels.filter(F.col(quality) == 1).select(F.col(doc_id).alias("_trusted_id")).dropna().distinct()
 
 
 def count_buckets(
     docs: DataFrame, trusted: DataFrame, doc_id: str = "doc_id", text: str = "text", n_buckets: int = BUCKETS
 ) -> DataFrame:
-    """``(bucket, raw, target)``: n-gram counts of all documents and of the trusted ones."""
+    """``(bucket, raw, target)``: n-gram counts of all documents and of all trusted ones.
+
+    Ids and texts are dealt by id, so that no number of trusted ids has to fit the driver or a task.
+    """
     narrow = docs.select(F.col(doc_id).alias("_id"), F.col(text).alias("_text"))
-    flagged = narrow.join(F.broadcast(trusted), F.col("_id") == F.col("_trusted_id"), "left")
-    grams = buckets(F.col("_hw"), n_buckets)
+    flagged = narrow.join(trusted.hint("merge"), F.col("_id") == F.col("_trusted_id"), "left")
     each = with_hashes(flagged, "_text").select(
-        F.col("_trusted_id").isNotNull().cast("int").alias("in_target"), F.explode(grams).alias("bucket")
+        F.col("_trusted_id").isNotNull().cast("int").alias("in_target"), F.explode(F.concat("_hw", "_hp")).alias("gram")
+    )
+    return each.groupBy(bucket(F.col("gram"), n_buckets).alias("bucket")).agg(
+        F.count(F.lit(1)).alias("raw"), F.sum("in_target").alias("target")
     )
-    return each.groupBy("bucket").agg(F.count(F.lit(1)).alias("raw"), F.sum("in_target").alias("target"))
 
 
 def bucket_ratios(counts: DataFrame, n_buckets: int = BUCKETS, smoothing: float = 1.0) -> DataFrame:
@@ -121,7 +126,6 @@ def quality_rules(
     text: str = "text",
     threshold: float = -0.3,
     n_buckets: int = BUCKETS,
-    trusted_bound: int = 20_000,
 ) -> DataFrame:
     """``docs`` with the measures of the word rules, ``score`` and ``kept``.
 
@@ -131,12 +135,12 @@ def quality_rules(
     documents all scores are 0. Repeated rows count as often as they occur. Columns named like a result
     are replaced; an empty table gives an empty result.
     """
-    counts = stored(count_buckets(docs, trusted_ids(labels, bound=trusted_bound), doc_id, text, n_buckets), "ngram-counts")
+    counts = stored(count_buckets(docs, trusted_ids(labels), doc_id, text, n_buckets), "ngram-counts")
     ratios = stored(bucket_ratios(counts, n_buckets), "ngram-ratios")
     rows = with_hashes(packed(docs, *MEASURES, "score", "kept", text=text))
-    rows = with_measures(rows).withColumn("_grams", buckets(F.col("_hw"), n_buckets))
+    rows = with_measures(rows).withColumn("_grams", F.concat("_hw", "_hp"))
     rows = rows.withColumn("_ratios", ratios.scalar())
-    total = F.aggregate("_grams", F.lit(0.0), lambda s, b: s + F.get(F.col("_ratios"), b))
+    total = F.aggregate("_grams", F.lit(0.0), lambda s, g: s + F.get(F.col("_ratios"), bucket(g, n_buckets)))
     rows = rows.withColumn("score", total / F.greatest(F.size("_grams"), F.lit(1)))
     rows = rows.withColumn("kept", ~F.col("base_failed") & (F.col("score") >= threshold))
     return unpacked(rows, *MEASURES, "score", "kept")

@@ -5,6 +5,7 @@ from collections import Counter
 
 import llm_cases as cases
 import xxhash
+from pyspark.sql import functions as F
 
 from quillmark.llm import quality_rules as q
 
@@ -81,3 +82,23 @@ def test_junk_goes_and_clean_documents_stay(spark):
     judged = q.quality_rules(docs.select("doc_id", "text"), labels).filter("NOT base_failed").join(labels, "doc_id")
     share = {r[0]: r[1] for r in judged.selectExpr("quality", "CAST(kept AS INT) AS k").groupBy("quality").avg("k").collect()}
     assert share[1] > 0.99 and share[0] < 0.1
+
+
+def test_every_trusted_document_is_counted(spark):
+    n = 25_000
+    docs = spark.range(n).select(F.col("id").alias("doc_id"), F.lit("a b").alias("text"))
+    labels = spark.range(0, n, 1, 3).select(F.col("id").alias("doc_id"), F.lit(1).alias("quality"))
+    trusted = q.trusted_ids(labels.union(labels.limit(5)))
+    assert trusted.count() == n
+    counts = q.count_buckets(docs, trusted)
+    assert tuple(counts.agg(F.sum("raw"), F.sum("target")).first()) == (3 * n, 3 * n)
+    assert "Broadcast" not in counts._jdf.queryExecution().executedPlan().toString()
+
+
+def test_windows_are_made_only_where_pairs_repeat(spark):
+    """Overlapping and distant repeats, and texts just short of a repeated window."""
+    five, four = "p q r s t", "p q r s"
+    texts = ["a a a a a a", "a a a a a", f"{five} x {five}", f"{four} x {four} y", f"{four} {four} {four}", "a b a b a b a b", "a\n\na\n a"]
+    df = spark.createDataFrame([(t,) for t in texts], "text string")
+    got = q.with_measures(q.with_hashes(df)).select("text", *q.MEASURES).collect()
+    assert {r["text"]: tuple(r[m] for m in q.MEASURES) for r in got} == {t: _measures(t) for t in texts}
