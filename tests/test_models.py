@@ -121,3 +121,17 @@ def test_raw_tables_to_corpus(spark, tmp_path):
     got = {(r["text"], r["subset"], r["category_encode"]) for r in files.read_corpus(spark, out).collect()}
     assert got == {("نص بشري اول", "by_polishing", 1), ("نص مولد اول", "by_polishing", 0),
                    ("نص بشري ثان", "by_polishing", 1), ("نص مولد ثالث", "from_title", 0)}
+
+
+@pytest.mark.parametrize("name, parts", [("RandomForest", 3), ("GBTClassifier", 3), ("LogisticRegression", 1)])
+def test_a_task_of_a_tree_learner_holds_a_bounded_number_of_rows(spark, monkeypatch, name, parts):
+    seen = []
+
+    class Learner:
+        def fit(self, df):
+            seen.append((df.count(), df.rdd.getNumPartitions()))
+
+    monkeypatch.setitem(models.CLASSIFIERS, name, lambda features, **params: Learner())
+    models.train(name, spark.range(2 * models.ROWS_PER_TASK + 1).coalesce(1))
+    models.train(name, spark.range(10).coalesce(1))
+    assert seen == [(2 * models.ROWS_PER_TASK + 1, parts), (10, 1)]
