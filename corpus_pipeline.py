@@ -60,10 +60,9 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of each document, and whether decoding them gives the text back."""
     pieces = sentencepiece.SentencePiece(spark, PIECES)
-    rows = docs.withColumn("ids", pieces.encode("text")).withColumn("_back", pieces.decode("ids"))
-    n_tokens = F.coalesce(F.size("ids"), F.lit(0)).cast("long").alias("n_tokens")
-    exact = F.col("_back").eqNullSafe(F.col("text")).alias("round_trip")
-    return rows.select("doc_id", "lang", "source", n_tokens, "ids", exact)
+    rows = docs.withColumn("_coded", pieces.encode_checked("text"))
+    n_tokens = F.coalesce(F.size("_coded.ids"), F.lit(0)).cast("long").alias("n_tokens")
+    return rows.select("doc_id", "lang", "source", n_tokens, "_coded.ids", F.col("_coded.exact").alias("round_trip"))
 
 
 STAGES = (

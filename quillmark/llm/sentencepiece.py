@@ -195,17 +195,28 @@ class SentencePiece:
                 shared.value["made"] = Vocabulary(shared.value["pieces"])
             return shared.value["made"]
 
+        def encoded(texts: pa.Array, check) -> pa.ListArray:
+            """Ids of all texts, in one buffer; ``check`` sees each text with its ids."""
+            words, flat, offsets, unknown = vocabulary(), array("i"), [0], []
+            for value in texts:
+                text = value.as_py()
+                ids = words.encode(text)
+                check(words, text, ids)
+                unknown.append(ids is None)
+                flat.extend(ids or ())
+                offsets.append(len(flat))
+            values = pa.array(np.frombuffer(flat, np.int32) if flat else np.zeros(0, np.int32))
+            return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), values, mask=pa.array(unknown, pa.bool_()))
+
         @F.arrow_udf(T.ArrayType(T.IntegerType()))
         def encode(texts: pa.Array) -> pa.Array:
-            words, out, offsets, known = vocabulary(), [], [0], []
-            for text in texts:
-                ids = words.encode(text.as_py())
-                known.append(ids is not None)
-                out.append(np.frombuffer(ids, np.int32) if ids else np.zeros(0, np.int32))
-                offsets.append(offsets[-1] + len(out[-1]))
-            flat = pa.array(np.concatenate(out) if out else np.zeros(0, np.int32))
-            unknown = pa.array([not k for k in known], pa.bool_())
-            return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), flat, mask=unknown)
+            return encoded(texts, lambda words, text, ids: None)
+
+        @F.arrow_udf("ids array<int>, exact boolean")
+        def encode_checked(texts: pa.Array) -> pa.Array:
+            exact: list[bool] = []
+            ids = encoded(texts, lambda words, text, ids: exact.append(words.decode(ids) == text))
+            return pa.StructArray.from_arrays([ids, pa.array(exact, pa.bool_())], ["ids", "exact"])
 
         @F.arrow_udf(T.StringType())
         def decode(ids: pa.Array) -> pa.Array:
@@ -213,12 +224,19 @@ class SentencePiece:
             spans = zip(ids.is_valid().to_pylist(), offsets[:-1].tolist(), offsets[1:].tolist())
             return pa.array([words.decode(flat[a:b].tolist()) if known else None for known, a, b in spans], pa.string())
 
-        self._encode, self._decode = encode, decode
+        self._encode, self._checked, self._decode = encode, encode_checked, decode
 
     def encode(self, text: str | Column) -> Column:
         """Ids of a text column. Null gives null, an empty text an empty array; texts are encoded whole."""
         return self._encode(text)
 
+    def encode_checked(self, text: str | Column) -> Column:
+        """``ids`` as :meth:`encode` makes them, and ``exact``: whether decoding them gives the text (null: null) back.
+
+        One pass in one worker: ids that go to :meth:`decode` as a column take a second worker and are sent twice more.
+        """
+        return self._checked(text)
+
     def decode(self, ids: str | Column) -> Column:
         """The text of an id column; exact for whatever :meth:`encode` made. Null gives null."""
         return self._decode(ids)

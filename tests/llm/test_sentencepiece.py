@@ -84,3 +84,19 @@ def test_columns(spark):
     assert cases.empty(spark).select(pieces.encode(F.col("text"))).collect() == []
     from_store = q.read_bytes(spark, f"file://{PATH}")
     assert from_store == open(PATH, "rb").read()
+
+
+def test_checked_ids_take_one_worker(spark):
+    """The pipeline's last stage: ids and whether they give the text back, in a single Python pass."""
+    import corpus_pipeline
+
+    docs = cases.documents(spark)
+    pieces = q.SentencePiece(spark, PATH)
+    two = docs.withColumn("made", pieces.encode("text")).withColumn("back", pieces.decode("made"))
+    wanted = [(r["text"], r["made"], r["back"] == r["text"]) for r in two.select("text", "made", "back").collect()]
+    got = docs.select("text", pieces.encode_checked("text").alias("c")).select("text", "c.ids", "c.exact").collect()
+    key = lambda r: (r[0] is not None, r[0] or "")
+    assert sorted(map(tuple, got), key=key) == sorted(wanted, key=key)
+    assert cases.empty(spark).select(pieces.encode_checked("text")).collect() == []
+    plan = corpus_pipeline.encode(spark, docs, "")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ArrowEvalPython") == 1
