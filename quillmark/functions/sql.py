@@ -70,7 +70,7 @@ def definitions(profile: LanguageProfile = ARABIC) -> dict[str, tuple[str, str]]
         "squeeze_space": ("STRING", space),
         "clean_text": (
             "STRING",
-            f"{PREFIX}squeeze_space({_replace(_replace(no_links, EMAIL_OR_DIGITS), REPEATED, '$1$2')})",
+            f"{PREFIX}squeeze_space({_replace(_replace(no_links, EMAIL_OR_DIGITS), REPEATED, '$1')})",
         ),
         "normalize_text": ("STRING", f"trim({_replace(_replace(wanted, token_pattern(p), '$1'), BLANKS, ' ')})"),
         "total_words": ("INT", f"size({tokens})"),

@@ -10,6 +10,7 @@ from quillmark.operators.ranking import quantiles_by_group
 from quillmark.operators.splits import exact_split
 from quillmark.operators.summaries import ttr_histogram
 from quillmark.functions import tokenize_ws, ttr_columns
+from quillmark.functions import cleaning
 from quillmark.plans.preparation import add_clean_texts, add_style, preprocess
 from quillmark.profiles import LATIN
 
@@ -132,3 +133,24 @@ def test_labels_are_broadcast_only_when_small(spark, sf_dir):
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
     assert "BroadcastHashJoin" in plan(entry.queries()["attach_labels"](spark, sf_dir))
+
+
+def test_a_single_row_group_is_cleaned_by_several_tasks(spark, tmp_path):
+    """Parquet never splits a row group, so the texts of one are dealt before they are cleaned; a stream is left alone."""
+    path = str(tmp_path / "one")
+    text = F.concat_ws(" ", F.lit("كتاب"), F.sha2(F.col("id").cast("string"), 512), F.sha2(F.concat(F.lit("x"), F.col("id").cast("string")), 512))
+    spark.range(20_000).select("id", text.alias("text")).coalesce(1).write.parquet(path)
+    cleaned = add_clean_texts(spark.read.parquet(path))
+    used = cleaned.select(F.spark_partition_id().alias("p"), F.length("processed_text").alias("n")).filter("n >= 0")
+    assert used.select("p").distinct().count() > 1
+    stream = add_clean_texts(spark.readStream.schema("id long, text string").parquet(path))
+    assert "Rebalance" not in stream._jdf.queryExecution().analyzed().toString()
+
+
+def test_repeats_in_one_pass_are_those_of_both_rules(spark):
+    """Two equal marks, three of any other character, and neither across a line feed."""
+    rows = ["a..b", "aab", "aaab", "!!!!x??..", "\n\n\nab", "؟؟؟", "😀😀😀 😀😀", ",,,,..!", "aa..bbb...", "", "1 222 33"]
+    df = spark.createDataFrame([(r,) for r in rows], "text string")
+    one = F.regexp_replace("text", cleaning.REPEATED, "$1")
+    two = cleaning.squeeze_elongation(cleaning.squeeze_punct("text"))
+    assert [r[0] for r in df.select(one).collect()] == [r[0] for r in df.select(two).collect()]
