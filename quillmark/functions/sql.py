@@ -16,7 +16,7 @@ from quillmark.functions.cleaning import (
     TAG,
     URL,
 )
-from quillmark.functions.normalizing import token_pattern, unwanted_pattern
+from quillmark.functions.normalizing import suffix_pattern, token_pattern, unwanted_pattern
 from quillmark.functions.stylometry import (
     LINES,
     NOT_LETTERS,
@@ -60,6 +60,8 @@ def definitions(profile: LanguageProfile = ARABIC) -> dict[str, tuple[str, str]]
     pairs = f"regexp_extract_all(array_join({tokens}, ' '), {_text('(?<![^ ])(?=([^ ]+ [^ ]+))[^ ]++')}, 1)"
     no_links = f"{PREFIX}strip_urls({PREFIX}strip_html(coalesce(t, '')))"
     space = f"trim({_replace('t', BLANKS, ' ')})"
+    stems = _replace(f"concat(' ', trim({_replace(wanted, BLANKS, ' ')}))", token_pattern(p), "$1")
+    stems = _replace(f"concat(' ', reverse({stems}))", suffix_pattern(p), " ")
     return {
         "strip_html": ("STRING", f"concat({_replace(f'left(t, length(t) - length({tail}))', TAG)}, {tail})"),
         "strip_urls": ("STRING", _replace("t", URL)),
@@ -72,7 +74,7 @@ def definitions(profile: LanguageProfile = ARABIC) -> dict[str, tuple[str, str]]
             "STRING",
             f"{PREFIX}squeeze_space({_replace(_replace(no_links, EMAIL_OR_DIGITS), REPEATED, '$1')})",
         ),
-        "normalize_text": ("STRING", f"trim({_replace(_replace(wanted, token_pattern(p), '$1'), BLANKS, ' ')})"),
+        "normalize_text": ("STRING", f"trim(reverse({stems}))"),
         "total_words": ("INT", f"size({tokens})"),
         "short_words_count": ("INT", _count(short_word_pattern())),
         "short_words_ratio": ("FLOAT", _ratio(_call("short_words_count"), _call("total_words"))),

@@ -154,3 +154,22 @@ def test_repeats_in_one_pass_are_those_of_both_rules(spark):
     one = F.regexp_replace("text", cleaning.REPEATED, "$1")
     two = cleaning.squeeze_elongation(cleaning.squeeze_punct("text"))
     assert [r[0] for r in df.select(one).collect()] == [r[0] for r in df.select(two).collect()]
+
+
+def test_normalising_tries_blanks_only_and_gives_the_plain_rules(spark):
+    """Single spaces are no match, both token patterns begin with the space, and no group of a failed try stays."""
+    from quillmark.functions import drop_stopwords, fold_final, fold_letters, keep_script, light_stem, normalize_text, strip_marks
+    from quillmark.functions.normalizing import suffix_pattern, token_pattern
+    from quillmark.profiles import ARABIC
+
+    rows = [" لز ا ورست", "ولا والكتابات　ا  ", "a b\tc", "", "الذين و بالمدرسه ون", "undersings a the ations reing  ings"]
+    df = spark.createDataFrame([(r,) for r in rows], "text string")
+    runs = df.select(F.regexp_count("text", F.lit(cleaning.BLANKS)).alias("n")).collect()
+    assert [r["n"] for r in runs] == [0, 2, 1, 0, 0, 1]
+    for profile in (ARABIC, LATIN):
+        assert token_pattern(profile)[0] == suffix_pattern(profile)[0] == " "
+        plain = keep_script(strip_marks(fold_final(fold_letters("text", profile), profile), profile), profile)
+        kept = F.filter(drop_stopwords(tokenize_ws(plain), profile), lambda t: F.length(t) >= 2)
+        wanted = F.array_join(F.transform(kept, lambda t: light_stem(t, profile)), " ")
+        found = df.select(normalize_text("text", profile).alias("a"), wanted.alias("b")).collect()
+        assert [r["a"] for r in found] == [r["b"] for r in found]
