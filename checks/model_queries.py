@@ -16,6 +16,7 @@ from quillmark.functions import tokenize_lower
 from quillmark.functions.stylometry import STYLO_COLUMNS
 from quillmark.operators import evaluation, features, models, reshape, splits, tfidf
 from quillmark.plans import training
+from quillmark.plans.preparation import add_style
 from quillmark.plans.training import build_features
 from quillmark.profiles import LATIN
 from quillmark.sources import artifacts, streams
@@ -160,7 +161,7 @@ def feature_vectors(spark, sf_dir):
 @cache
 def _features(spark, sf_dir):
     """Feature tables of the labelled documents, built once per session and scale."""
-    docs = t.styled(spark, sf_dir).filter("category_encode IS NOT NULL")
+    docs = add_style(t.latin_docs(spark, sf_dir).filter("category_encode IS NOT NULL"), LATIN, deal=True)
     return build_features(docs, scratch_dir(spark, "features"), "doc_id", keep=("doc_id",))
 
 

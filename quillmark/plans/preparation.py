@@ -54,8 +54,12 @@ def preprocess(
     return drop_empty(_with_clean_texts(kept, profile, filtered=True))
 
 
-def add_style(df: DataFrame, profile: LanguageProfile = ARABIC) -> DataFrame:
-    """Cleaned and processed texts and all style measures of a table with ``text``, batch or stream."""
-    return stylometry(_with_clean_texts(df, profile), profile=profile)
+def add_style(df: DataFrame, profile: LanguageProfile = ARABIC, deal: bool = False) -> DataFrame:
+    """Cleaned and processed texts and all style measures of a table with ``text``, batch or stream.
+
+    ``deal`` deals a batch over the tasks first, as :func:`add_clean_texts` does.
+    """
+    add = add_clean_texts if deal else _with_clean_texts
+    return stylometry(add(df, profile), profile=profile)
 
 

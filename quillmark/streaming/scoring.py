@@ -15,8 +15,8 @@ from quillmark.sources.streams import PROGRESS_SCHEMA, ProgressLog, listed_batch
 
 
 def stream_features(df: DataFrame, profile: LanguageProfile = ARABIC) -> DataFrame:
-    """Cleaned texts and style measures of a stream of messages: the batch expressions."""
-    return add_style(df, profile)
+    """Cleaned texts and style measures of a stream of messages: the batch expressions. A batch is dealt over the tasks."""
+    return add_style(df, profile, deal=True)
 
 
 def stream_score(df: DataFrame, model: PipelineModel, profile: LanguageProfile = ARABIC) -> DataFrame:

@@ -173,3 +173,19 @@ def test_normalising_tries_blanks_only_and_gives_the_plain_rules(spark):
         wanted = F.array_join(F.transform(kept, lambda t: light_stem(t, profile)), " ")
         found = df.select(normalize_text("text", profile).alias("a"), wanted.alias("b")).collect()
         assert [r["a"] for r in found] == [r["b"] for r in found]
+
+
+def test_style_of_a_batch_is_dealt_where_asked_and_for_stream_features(spark, tmp_path):
+    """Messages of one row group are measured by several tasks, with the rows of the plain form; a stream is left alone."""
+    from quillmark.streaming.scoring import stream_features
+
+    path = str(tmp_path / "one")
+    text = F.concat_ws(" ", F.lit("book"), F.sha2(F.col("id").cast("string"), 512), F.sha2(F.concat(F.lit("x"), F.col("id").cast("string")), 512))
+    spark.range(20_000).select("id", text.alias("text")).coalesce(1).write.parquet(path)
+    df = spark.read.parquet(path)
+    for dealt in (stream_features(df, LATIN), add_style(df, LATIN, deal=True)):
+        assert "rebalance" in dealt._jdf.queryExecution().optimizedPlan().toString().lower()
+        assert dealt.select(F.spark_partition_id().alias("p"), "total_words").filter("total_words > 0").select("p").distinct().count() > 1
+        assert dealt.exceptAll(add_style(df, LATIN)).count() == 0
+    stream = stream_features(spark.readStream.schema("id long, text string").parquet(path), LATIN)
+    assert "rebalance" not in stream._jdf.queryExecution().analyzed().toString().lower()
