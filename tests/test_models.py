@@ -135,3 +135,12 @@ def test_a_task_of_a_tree_learner_holds_a_bounded_number_of_rows(spark, monkeypa
     models.train(name, spark.range(2 * models.ROWS_PER_TASK + 1).coalesce(1))
     models.train(name, spark.range(10).coalesce(1))
     assert seen == [(2 * models.ROWS_PER_TASK + 1, parts), (10, 1)]
+
+
+def test_uneven_partitions_are_dealt_even_where_there_are_enough(spark):
+    """Nine thousand rows in one of eight partitions."""
+    from quillmark.operators.models import dealt
+
+    uneven = spark.range(10_000).repartition(8, F.when(F.col("id") < 9_000, 0).otherwise(F.col("id")))
+    sizes = dealt(uneven, 2_000).groupBy(F.spark_partition_id()).count().collect()
+    assert sum(r["count"] for r in sizes) == 10_000 and max(r["count"] for r in sizes) <= 2_000
