@@ -23,7 +23,8 @@ ELONGATION = r"([^\n])\1{2,}+"
 BLANKS = f"{U}{BLANK}(?:(?<! ){BLANK}*+|{BLANK}++)"
 # Two neighbouring rules in one pass. That cannot change the result: an e-mail address is matched at
 # its first character, before any digit in it, and squeezing marks never brings others together.
-EMAIL_OR_DIGITS = f"{EMAIL}|{DIGITS}"
+# A text without any @ or digit, as most are, is one match and put back as group 1: no place in it is tried on its own.
+EMAIL_OR_DIGITS = rf"{U}\A([^@\p{{Nd}}]++)\z|{EMAIL}|{DIGITS}"
 # Both squeezing rules look for a second equal character first, which most places lack.
 REPEATED = r"([^\n])\1(?:\1++|(?<=[\u061f!.,]))"
 
@@ -77,5 +78,5 @@ def squeeze_space(c) -> Column:
 def clean_text(c) -> Column:
     """All cleaning rules in their fixed order; null gives the empty string."""
     c = strip_urls(strip_html(F.coalesce(_col(c), F.lit(""))))
-    c = F.regexp_replace(c, EMAIL_OR_DIGITS, "")
+    c = F.regexp_replace(c, EMAIL_OR_DIGITS, "$1")
     return squeeze_space(F.regexp_replace(c, REPEATED, "$1"))

@@ -36,10 +36,11 @@ def keep_script(c, profile: LanguageProfile = ARABIC) -> Column:
 def unwanted_pattern(profile: LanguageProfile) -> str:
     """Diacritics, and characters that are neither kept by the profile nor white space.
 
-    Two alternatives rather than a union of classes: that union took six times as long on eight cores as on one, timed alone.
-    The cheap test comes first, so that kept characters never reach the one for white space.
+    One class of what is not wanted, so that each character is tried once: a union of classes took six times as long on eight
+    cores as on one, timed alone, and two alternatives are tried in turn. The cheap test comes first, so that kept characters
+    never reach the one for white space.
     """
-    return rf"{U}[[^ {profile.keep_class}]&&{NONBLANK}]+|[{profile.mark_class}]+"
+    return rf"{U}[[^ [{profile.keep_class}&&[^{profile.mark_class}]]]&&{NONBLANK}]+"
 
 
 def token_pattern(profile: LanguageProfile) -> str:

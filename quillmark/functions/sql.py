@@ -72,7 +72,7 @@ def definitions(profile: LanguageProfile = ARABIC) -> dict[str, tuple[str, str]]
         "squeeze_space": ("STRING", space),
         "clean_text": (
             "STRING",
-            f"{PREFIX}squeeze_space({_replace(_replace(no_links, EMAIL_OR_DIGITS), REPEATED, '$1')})",
+            f"{PREFIX}squeeze_space({_replace(_replace(no_links, EMAIL_OR_DIGITS, '$1'), REPEATED, '$1')})",
         ),
         "normalize_text": ("STRING", f"trim(reverse({stems}))"),
         "total_words": ("INT", f"size({tokens})"),
@@ -107,7 +107,8 @@ def table_definitions(profile: LanguageProfile = ARABIC, min_length: int = 2) ->
     tokens = f"regexp_extract_all({text}, {_text(U + NONBLANK + '+')}, 0)"
     words = f"regexp_extract_all({text}, {_text(f'[{profile.letter_class}]{{{min_length},}}')}, 0)"
     named = lambda kind, of: f"transform({of}, x -> struct('{kind}' AS kind, x AS term))"
-    both = f"concat({named('WORD', 'w')}, {named('BIGRAM', pairs("array_join(w, '_')", '_'))})"
+    next_to = "zip_with(slice(w, 1, greatest(size(w) - 1, 0)), slice(w, 2, size(w)), (x, y) -> struct('BIGRAM' AS kind, concat(x, '_', y) AS term))"
+    both = f"concat({named('WORD', 'w')}, {next_to})"
     return {
         "tokens": ("pos INT, token STRING", f"posexplode({tokens})"),
         "bigrams": ("pos INT, bigram STRING", f"posexplode({pairs(f"array_join({tokens}, ' ')", ' ')})"),

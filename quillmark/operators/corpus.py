@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quillmark.functions.tokens import pairs_of, script_terms, tokenize_ws
+from quillmark.functions.tokens import tokenize_script, tokenize_ws
 from quillmark.operators.ranking import top_n
 from quillmark.operators.reshape import GENERATED, HUMAN
 from quillmark.operators.summaries import LABEL
@@ -21,14 +21,19 @@ CLASSES = ("ALL", "HUMAN", "AI")  # names of the classes in long tables
 _WIDE = {"ALL": "n_all", "HUMAN": "n_human", "AI": "n_ai"}
 
 
-def _terms(df: DataFrame, words: Column, pairs: Column, *keep: str) -> DataFrame:
-    """One row per occurrence: ``(*keep, kind, term)``, from one pass over the texts."""
-    arrays = df.select(*keep, words.alias("_words"), pairs.alias("_pairs"))
-    kinds = arrays.select(
-        *keep,
-        F.stack(F.lit(2), F.lit(WORD), F.col("_words"), F.lit(BIGRAM), F.col("_pairs")).alias("kind", "_terms"),
-    )
-    return kinds.select(*keep, "kind", F.explode("_terms").alias("term"))
+def _terms(df: DataFrame, tokens: Column, sep: str, *keep: str, min_length: int = 1) -> DataFrame:
+    """One row per occurrence: ``(*keep, kind, term)``, from one pass over the texts.
+
+    Tokens are found once and laid beside their neighbours, so that no pattern runs over them again. Those under
+    ``min_length`` characters are no words and part of no pair.
+    """
+    arrays = df.select(*keep, tokens.alias("_words"))
+    shifted = arrays.withColumn("_nexts", F.slice("_words", F.lit(2), F.size("_words")))
+    places = shifted.select(*keep, F.inline(F.arrays_zip("_words", "_nexts")).alias("_word", "_next"))
+    long = lambda c: F.col(c) if min_length == 1 else F.when(F.length(c) >= min_length, F.col(c))
+    word, pair = long("_word"), F.concat(long("_word"), F.lit(sep), long("_next"))
+    kinds = F.stack(F.lit(2), F.lit(WORD), word, F.lit(BIGRAM), pair).alias("kind", "term")
+    return places.select(*keep, kinds).filter("term IS NOT NULL")
 
 
 def explode_terms(
@@ -38,15 +43,17 @@ def explode_terms(
     adjacency: str = "filtered",
     keep: tuple[str, ...] = (),
 ) -> DataFrame:
-    """Occurrences of native-script words and of bigrams ``a_b``."""
-    words, pairs = script_terms(text, profile, "_", adjacency)
-    return _terms(df, words, pairs, *keep)
+    """Occurrences of native-script words and of bigrams ``a_b``; ``adjacency`` as in :func:`script_bigrams`."""
+    if adjacency == "filtered":
+        return _terms(df, tokenize_script(text, profile, 2), "_", *keep)
+    if adjacency == "original":
+        return _terms(df, tokenize_script(text, profile), "_", *keep, min_length=2)
+    raise ValueError(f"adjacency must be 'filtered' or 'original', not {adjacency!r}")
 
 
 def explode_ws_terms(df: DataFrame, text: str = "processed_text", keep: tuple[str, ...] = ()) -> DataFrame:
     """Occurrences of white-space words and of bigrams ``a b``, paired before short words go."""
-    pairs = pairs_of(F.array_join(tokenize_ws(text), " "), " ", min_length=2)
-    return _terms(df, tokenize_ws(text, min_length=2), pairs, *keep)
+    return _terms(df, tokenize_ws(text), " ", *keep, min_length=2)
 
 
 def term_counts(terms: DataFrame) -> DataFrame:

@@ -189,3 +189,53 @@ def test_style_of_a_batch_is_dealt_where_asked_and_for_stream_features(spark, tm
         assert dealt.exceptAll(add_style(df, LATIN)).count() == 0
     stream = stream_features(spark.readStream.schema("id long, text string").parquet(path), LATIN)
     assert "rebalance" not in stream._jdf.queryExecution().analyzed().toString().lower()
+
+
+def test_a_text_without_mail_or_digits_is_one_match(spark):
+    """Such a text is put back whole instead of being tried place by place; all others get both rules."""
+    rows = ["plain words only", "ab@cd 12", "@ab", "x@", "١٢ كتاب", "a1a1a@b c", "", "@a@b", "line\nbreak", "7"]
+    df = spark.createDataFrame([(r,) for r in rows], "text string")
+    one = F.regexp_replace("text", cleaning.EMAIL_OR_DIGITS, "$1").alias("one")
+    two = cleaning.strip_digits(cleaning.strip_emails("text")).alias("two")
+    found = df.select(one, two, F.regexp_extract("text", cleaning.EMAIL_OR_DIGITS, 0).alias("first")).collect()
+    assert [r["one"] for r in found] == [r["two"] for r in found]
+    assert [r["first"] for r in found if r["first"] == r["one"] != ""] == ["plain words only", "line\nbreak"]
+
+
+def test_unwanted_characters_are_one_class(spark):
+    """One class gives what the rules for marks and script give, and no second alternative is tried."""
+    from quillmark.functions import keep_script, strip_marks
+    from quillmark.functions.normalizing import unwanted_pattern
+    from quillmark.profiles import ARABIC
+
+    df = spark.createDataFrame([("كِتَابٌ, abc ٰx　é́ ١!",), ("\x1c  a-b_cً",), ("",)], "text string")
+    for profile in (ARABIC, LATIN):
+        assert "|" not in unwanted_pattern(profile)
+        both = df.select(F.regexp_replace("text", unwanted_pattern(profile), "").alias("a"), keep_script(strip_marks("text", profile), profile).alias("b"))
+        assert all(r["a"] == r["b"] for r in both.collect())
+
+
+@pytest.mark.parametrize("adjacency", ["filtered", "original", "blanks"])
+def test_words_and_pairs_come_from_one_pattern(spark, adjacency):
+    """Pairs are neighbours of the tokens found, not a second search; the rows are those of the plain rules."""
+    from quillmark.functions import bigrams, min_token_length, script_bigrams, tokenize_script
+
+    rows = [("كتاب و قلم جديد",), ("و",), ("كتاب",), ("",), (None,), ("ab c de f ghi 😀 jk",), ("كتاب x قلم كتاب قلم",)]
+    df = spark.createDataFrame(rows, "processed_text string").withColumn("id", F.monotonically_increasing_id())
+    if adjacency == "blanks":
+        terms = corpus.explode_ws_terms(df, keep=("id",))
+        pairs = F.filter(bigrams(tokenize_ws("processed_text"), " "), lambda p: p.rlike("^.{2,} .{2,}$"))
+        words = min_token_length(tokenize_ws("processed_text"))
+    else:
+        terms = corpus.explode_terms(df, adjacency=adjacency, keep=("id",))
+        pairs, words = script_bigrams("processed_text", adjacency=adjacency), tokenize_script("processed_text", min_length=2)
+    assert final_plan(terms).count("regexp_extract_all") == 1
+    plain = [df.select("id", F.lit(k).alias("kind"), F.explode(a).alias("term")) for k, a in (("WORD", words), ("BIGRAM", pairs))]
+    wanted = plain[0].unionAll(plain[1])
+    assert terms.exceptAll(wanted).count() == wanted.exceptAll(terms).count() == 0 < wanted.count()
+
+
+def test_sql_terms_search_a_text_once(spark):
+    from quillmark.functions.sql import table_definitions
+
+    assert table_definitions()["terms"][1].count("regexp_extract_all") == 1
