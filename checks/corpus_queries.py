@@ -598,8 +598,10 @@ def sketched_types(spark, sf_dir):
 @query("frequent_bigrams", _top_sql("BIGRAM", 20))
 def frequent_bigrams(spark, sf_dir):
     """The rows of top_bigrams_by_class, from candidates of a sketch that are counted exactly."""
-    terms = _terms(spark, sf_dir).filter(F.col("kind") == corpus.BIGRAM).select("term", "category_encode")
-    top = sketches.frequent_terms(stored(terms, scratch_dir(spark, "bigrams")))
+    docs = t.processed(spark, sf_dir).select("processed_text", "category_encode")
+    texts = stored(docs, scratch_dir(spark, "processed"))  # read twice, and far smaller than its occurrences
+    terms = corpus.explode_terms(texts, keep=("category_encode",)).filter(F.col("kind") == corpus.BIGRAM)
+    top = sketches.frequent_terms(terms.select("term", "category_encode"))
     return top.select(F.lit(corpus.BIGRAM).alias("kind"), "class", "term", "n", "rank")
 
 

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from quillmark.operators.ranking import top_n
 from quillmark.operators.reshape import GENERATED, HUMAN
 from quillmark.operators.summaries import LABEL
+from quillmark.sources.scratch import scratch_dir, stored
 
 QUANTILE_K = 400  # a KLL sketch of this size is within RANK_ERROR of the rank, 99 times in 100
 RANK_ERROR = 0.007
@@ -78,7 +79,9 @@ def _exact(terms: DataFrame, candidates: DataFrame, label: str) -> DataFrame:
     return counts.unpivot(["term"], ["ALL", "HUMAN", "AI"], "class", "n").filter("n > 0")
 
 
-def frequent_terms(terms: DataFrame, n: int = 20, label: str = LABEL, tracked: int = 20_000) -> DataFrame:
+def frequent_terms(
+    terms: DataFrame, n: int = 20, label: str = LABEL, tracked: int = 20_000, path: str | None = None
+) -> DataFrame:
     """The ``n`` most frequent terms of each class and of all, ``(class, term, n, rank)``; the lower term wins a tie.
 
     ``terms`` has one row per occurrence with ``term`` and the label. A sketch of ``tracked`` counters proposes
@@ -87,14 +90,21 @@ def frequent_terms(terms: DataFrame, n: int = 20, label: str = LABEL, tracked: i
     if the last of the ``n`` found occurs more often than both, or all terms are listed, the result is proved.
     Otherwise the sketch is widened fourfold, and beyond a million counters all terms are counted. Either way
     gives the same rows.
+
+    What a sketch lists, its candidates and their counts are small and stored below ``path`` (by default a scratch
+    folder): each is worked out once, and Spark knows the size of the candidates, so it can send them to the
+    occurrences. Joined without a known size, all occurrences were shuffled.
     """
+    path = path or scratch_dir(terms.sparkSession, "frequent")
     order = [F.desc("n"), F.asc("term")]
     while tracked <= MOST_TRACKED:
         sketches = _tracked(terms, label, tracked)
         most = min(tracked, max(16 * n, tracked // 16))
         listed = sketches.withColumn("items", F.expr(f"approx_top_k_estimate(sketch, {most})")).drop("sketch")
-        candidates = listed.select("class", F.explode("items.item").alias("term"))
-        top = top_n(_exact(terms, candidates, label), ["class"], order, n, "term")
+        listed = stored(listed, f"{path}/listed-{tracked}")
+        candidates = stored(listed.select(F.explode("items.item").alias("term")).distinct(), f"{path}/candidates-{tracked}")
+        counts = stored(_exact(terms, candidates, label), f"{path}/counts-{tracked}")
+        top = top_n(counts, ["class"], order, n, "term")
         least = top.groupBy("class").agg(F.min("n").alias("least"), F.count(F.lit(1)).alias("found"))
         lost, full = F.col("total") * 7 / tracked, F.size("items") >= most
         unlisted = F.when(full, F.array_min("items.count")).otherwise(0)  # estimates are never below the count

@@ -102,3 +102,24 @@ def test_merging_stored_counts_needs_no_exchange(spark):
     assert sorted(map(tuple, merged.collect())) == sorted(map(tuple, wanted.collect()))
     with pytest.raises(ValueError):
         count_store.merge_stored(spark, [])
+
+
+def test_occurrences_are_not_shuffled_to_meet_candidates(spark, monkeypatch):
+    """Stored candidates have a known size, so Spark sends them to the occurrences."""
+    plans, real = [], sketches._exact
+    spy = lambda terms, candidates, label: (plans.append(real(terms, candidates, label)), plans[-1])[1]
+    monkeypatch.setattr(sketches, "_exact", spy)
+    rows = spark.range(50_000).selectExpr("concat('h', CAST(pow(id % 900, 0.5) AS int)) AS term", "CAST(id % 2 AS int) AS category_encode")
+    terms = stored(rows, scratch_dir(spark, "terms"))
+    assert sketches.frequent_terms(terms, 5).count() == 15
+    (plan,) = (p._jdf.queryExecution().executedPlan().toString() for p in plans)
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+
+
+def test_bigrams_are_found_without_storing_their_occurrences(spark, sf_dir, monkeypatch):
+    from checks import corpus_queries
+
+    kept, real = [], corpus_queries.stored
+    monkeypatch.setattr(corpus_queries, "stored", lambda df, path: (kept.append(df.columns), real(df, path))[1])
+    corpus_queries.frequent_bigrams(spark, sf_dir)
+    assert kept == [["processed_text", "category_encode"]]
