@@ -20,7 +20,7 @@ from quillmark.plans.preparation import add_style
 from quillmark.plans.training import build_features
 from quillmark.profiles import LATIN
 from quillmark.sources import artifacts, streams
-from quillmark.sources.scratch import scratch_dir
+from quillmark.sources.scratch import scratch_dir, stored
 from quillmark.streaming import scoring
 
 # ---- splits ---------------------------------------------------------------------------------
@@ -261,11 +261,20 @@ def prediction_view(spark, sf_dir):
     return _known(reshape.prediction_view(_pipeline(spark, sf_dir).transform(docs), "category_encode"))
 
 
+def _styled_once(spark, sf_dir) -> DataFrame:
+    """What a pipeline reads of every document, stored: the measures behind the features and those of all other documents."""
+    known = _features(spark, sf_dir).measures()
+    others = t.latin_docs(spark, sf_dir).filter(~F.coalesce(F.col("category_encode").isin(0, 1), F.lit(False)))
+    columns = ["doc_id", "processed_text", *STYLO_COLUMNS]
+    rest = stored(add_style(others, LATIN, deal=True).select(*columns), scratch_dir(spark, "styled"))
+    return known.select(*columns).unionByName(rest)
+
+
 @query("model_roundtrip", "SELECT doc_id, TRUE AS same FROM documents")
 def model_roundtrip(spark, sf_dir):
     path, model = scratch_dir(spark, "model"), _pipeline(spark, sf_dir)
     artifacts.save_model(model, path)
-    docs = t.styled(spark, sf_dir)
+    docs = _styled_once(spark, sf_dir)
     both = (models.score(m, docs).select("doc_id", F.struct("prediction", "score").alias(n)) for m, n in ((model, "a"), (artifacts.load_model(path), "b")))
     first, second = both
     return first.join(second, "doc_id", "full").select("doc_id", F.col("a").eqNullSafe(F.col("b")).alias("same"))

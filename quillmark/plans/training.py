@@ -34,6 +34,10 @@ class FeatureTables:
         """The folder above the feature table."""
         return self.path.rsplit("/", 1)[0]
 
+    def measures(self) -> DataFrame:
+        """Style measures and processed texts of all splits, as they were stored before the feature stages."""
+        return self.spark.read.parquet(f"{self.root}/measures").drop("split")
+
     def split(self, name: str) -> DataFrame:
         return self.spark.read.parquet(self.path).filter(F.col("split") == name).drop("split")
 

@@ -239,3 +239,21 @@ def test_sql_terms_search_a_text_once(spark):
     from quillmark.functions.sql import table_definitions
 
     assert table_definitions()["terms"][1].count("regexp_extract_all") == 1
+
+
+def test_model_and_its_copy_score_measures_that_are_stored_once(spark, tmp_path):
+    """Unlabelled, unknown, repeated and missing documents among them; no text work is left in the plan."""
+    from checks import model_queries
+
+    texts = spark.range(60).selectExpr("id AS doc_id", "concat('River stone ', id, '. Some light!') AS text", "'en' AS lang", "'a' AS source", "20L AS n_chars")
+    odd = spark.createDataFrame([(None, "no key", "en", "a", 6), (7, "seven again", "en", "a", 11), (60, None, "en", "a", 0)], "doc_id long, text string, lang string, source string, n_chars long")
+    labels = spark.range(40).selectExpr("id AS doc_id", "CAST(CASE WHEN id = 3 THEN NULL WHEN id = 4 THEN 7 ELSE id % 2 END AS int) AS quality", "0 AS toxic")
+    texts.union(odd).write.parquet(f"{tmp_path}/documents.parquet")
+    labels.union(labels.filter("doc_id = 5")).write.parquet(f"{tmp_path}/labels.parquet")
+    columns = ["doc_id", "processed_text", *model_queries.STYLO_COLUMNS]
+    once, wanted = model_queries._styled_once(spark, str(tmp_path)), model_queries.t.styled(spark, str(tmp_path)).select(*columns)
+    assert once.exceptAll(wanted).isEmpty() and wanted.exceptAll(once).isEmpty()
+    result = model_queries.model_roundtrip(spark, str(tmp_path))
+    assert "regexp_replace" not in result._jdf.queryExecution().optimizedPlan().toString()
+    found = result.filter("doc_id IS NOT NULL AND doc_id NOT IN (5, 7)").collect()
+    assert len(found) == 59 and all(r["same"] for r in found)
